@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports",)
+MODULES = ("reports", "explore", "quality", "streams")
 
 
 def all_sql() -> dict[str, str]:

@@ -58,7 +58,7 @@ def interpolated_quantiles_of_counts(counts: DataFrame, keys: Sequence[str], val
                                      probs: dict[str, float], n: str = "n") -> DataFrame:
     """Exact interpolated quantiles per key of a table from :func:`counted_values`."""
     return counts.groupBy(*keys).agg(*(
-        F.percentile(value, p, n).alias(name) for name, p in probs.items()))
+        F.percentile(value, p, F.col(n)).alias(name) for name, p in probs.items()))
 
 
 def moments_of_counts(value: str, n: str = "n") -> dict[str, Column]:

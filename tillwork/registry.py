@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwork.plans import reports
+from tillwork.plans import explore, quality, reports
 from tillwork.session import prepare
-from tillwork.sources import StarShop
+from tillwork.sources import StarShop, streams
+from tillwork.streaming import jobs, rollups, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,4 +49,155 @@ def _reports() -> None:
     on_shop("q7b_segment_summary", lambda s: reports.segment_summary(reports.rfm_segments(s)))
 
 
+def _explore() -> None:
+    on_shop("e11_monthly_revenue", explore.monthly_revenue)
+    on_shop("e12_monthly_orders", explore.monthly_orders)
+    on_shop("e13_status_shares", explore.status_shares)
+    on_shop("e14_price_profile", explore.price_profile)
+    on_shop("e14_price_histogram_p99", explore.price_histogram)
+    on_shop("e14_price_histogram_full", lambda s: explore.price_histogram(s, 80, None))
+    on_shop("e14_price_sample", explore.price_sample)
+    on_shop("e15_age_distribution", explore.age_distribution)
+    on_shop("e15_age_histogram", explore.age_histogram)
+    on_shop("e21_gender_revenue", explore.gender_revenue)
+    on_shop("e22_age_behaviour", explore.age_behaviour)
+    on_shop("e23_source_conversion", explore.source_conversion)
+    on_shop("e24_country_revenue", explore.country_revenue)
+    on_shop("e25_country_returns", explore.country_returns)
+    on_shop("e51_revenue_and_quantity", explore.revenue_and_quantity)
+    on_shop("e52_category_margin", explore.category_margin)
+    on_shop("e53_category_returns", explore.category_returns)
+    on_shop("e54_double_risk", explore.double_risk)
+    on_shop("e55_category_by_gender", explore.category_by_gender)
+    on_shop("e61_source_order_value", explore.source_order_value)
+    on_shop("e62_source_returns", explore.source_returns)
+    on_shop("e63_delivery_overview", explore.delivery_overview)
+    on_shop("e63_delivery_by_country", explore.delivery_by_country)
+    on_shop("e63_delivery_boxes", explore.delivery_boxes)
+    on_shop("e63_delivery_histogram", explore.delivery_histogram)
+    on_shop("e64_delivery_and_returns", explore.delivery_and_returns)
+    on_shop("e64_delivery_correlation", explore.delivery_correlation)
+    on_shop("join09_stock_units", explore.stock_units)
+
+
+def _quality() -> None:
+    tables = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    on_shop("dq01_table_shapes", lambda s: quality.table_shapes(s, tables))
+    on_shop("dq02_descriptive_statistics", quality.descriptive_statistics)
+    on_shop("dq03_nulls", quality.nulls)
+    on_shop("dq04_nulls_by_status", quality.nulls_by_status)
+    on_shop("dq05_key_duplicates", quality.key_duplicates)
+    on_shop("dq06_items_per_order", quality.items_per_order)
+    on_shop("dq07_ranges", quality.ranges)
+    on_shop("dq08_time_order", quality.time_order)
+    on_shop("dq09_status_distribution", quality.status_distribution)
+    # Pending is a status of live orders that the stored items lack; Shipped is left out to
+    # show a surplus.
+    on_shop("dq09_status_domain", lambda s: quality.status_domain(
+        s, ["Complete", "Processing", "Cancelled", "Returned", "Pending"]))
+    on_shop("dq10_orders_and_items_by_status", quality.orders_and_items_by_status)
+
+
+# --- streams: the events table, replayed as the four topics -------------------------------
+# An event comes every few minutes there, so the windows are hours instead of minutes.
+HOUR, HOURS, HALF = "1 hour", "2 hours", "30 minutes"
+BRANDS = [f"Brand {i}" for i in range(7)]
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """Times as text, and without the time of writing, which differs from run to run."""
+    for name in ("window_start", "window_end", "last_updated"):
+        if name in df.columns:
+            df = df.withColumn(name, F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+    return df.drop("processed_at")
+
+
+def _orders(s: StarShop) -> DataFrame:
+    return jobs.order_anomaly(streams.star_order_messages(s.table("events")), HOUR,
+                              distinct="exact")
+
+
+def _funnel(s: StarShop, length: str = HOUR, slide: str | None = None) -> DataFrame:
+    return jobs.traffic_funnel(streams.star_web_events(s.table("events")), length, slide,
+                               distinct="exact")
+
+
+def _stock(s: StarShop) -> DataFrame:
+    return jobs.inventory_state(streams.star_inventory_messages(s.table("events")))
+
+
+def _revenue(s: StarShop, length: str = HOUR, slide: str | None = None) -> DataFrame:
+    return jobs.revenue_dashboard(streams.star_revenue_messages(s.table("events")), length, slide,
+                                  distinct="exact")
+
+
+def _replayed(s: StarShop) -> DataFrame:
+    return streams.replay(s.spark, s.folder, s.table("events").schema, "events.parquet")
+
+
+def _appended(s: StarShop, name: str, result: DataFrame) -> DataFrame:
+    """Run a windowed job as a stream over the events and read its table back."""
+    path = sinks.catch_up(lambda out, state: sinks.append_table(result, out, state, every=None),
+                          s.spark, name)
+    return streams.read_back(s.spark, path)
+
+
+def _orders_stream(s: StarShop) -> DataFrame:
+    result = jobs.order_anomaly(streams.star_order_messages(_replayed(s)), HOUR)
+    return shown(_appended(s, "order_anomaly", result)).drop("unique_buyers")
+
+
+def _funnel_stream(s: StarShop) -> DataFrame:
+    result = jobs.traffic_funnel(streams.star_web_events(_replayed(s)), HOURS, HALF)
+    return shown(_appended(s, "traffic_funnel", result))
+
+
+def _stock_stream(s: StarShop) -> DataFrame:
+    state = jobs.inventory_state(streams.star_inventory_messages(_replayed(s)))
+    path = sinks.catch_up(
+        lambda out, kept: sinks.snapshots(state, out, kept, alerts=f"{out}_alerts", every=None),
+        s.spark, "inventory_alert")
+    return shown(streams.latest_snapshot(s.spark, path).drop("batch_id"))
+
+
+def _revenue_stream(s: StarShop) -> DataFrame:
+    result = jobs.revenue_dashboard(streams.star_revenue_messages(_replayed(s)), HOURS, HALF)
+    return shown(_appended(s, "revenue_dashboard", result)).drop("unique_buyers")
+
+
+def _streams() -> None:
+    on_shop("s1_order_anomaly", lambda s: shown(_orders(s)))
+    on_shop("s2_traffic_funnel", lambda s: shown(_funnel(s, HOURS, HALF)))
+    on_shop("s2_funnel_reached", lambda s: shown(
+        jobs.funnel_reached(streams.star_web_events(s.table("events")), "1 day")))
+    on_shop("s3_inventory_state", lambda s: shown(_stock(s)))
+    on_shop("s3_inventory_alerts", lambda s: shown(jobs.inventory_alerts(_stock(s))))
+    on_shop("s4_revenue_dashboard", lambda s: shown(_revenue(s, HOURS, HALF)))
+    on_shop("s1_order_anomaly_stream", _orders_stream)
+    on_shop("s2_traffic_funnel_stream", _funnel_stream)
+    on_shop("s3_inventory_snapshot_stream", _stock_stream)
+    on_shop("s4_revenue_dashboard_stream", _revenue_stream)
+
+    def outliers(s: StarShop) -> DataFrame:
+        messages = streams.star_order_messages(s.table("events"))
+        return jobs.outlier_orders(messages, messages)
+    on_shop("str15_outlier_orders", outliers)
+
+    on_shop("r1a_value_by_status", lambda s: rollups.value_by_status(_orders(s)))
+    on_shop("r1b_anomaly_trend", lambda s: shown(rollups.anomaly_trend(_orders(s))))
+    on_shop("r2a_funnel_totals", lambda s: rollups.funnel_totals(_funnel(s)))
+    on_shop("r2b_visitors_by_source", lambda s: rollups.visitors_by_source(_funnel(s)))
+    on_shop("r2b_distinct_visitors_sketch", lambda s: rollups.distinct_visitors_by_source(
+        jobs.visitor_sketches(streams.star_web_events(s.table("events")), HOUR)))
+    on_shop("r3a_stock_matrix", lambda s: rollups.stock_matrix(_stock(s), BRANDS))
+    on_shop("r3b_alert_counts", lambda s: rollups.alert_counts(_stock(s)))
+    on_shop("r4a_category_revenue", lambda s: rollups.category_revenue(_revenue(s)))
+    on_shop("r4b_margin_trend", lambda s: shown(rollups.margin_trend(_revenue(s))))
+    on_shop("r5_key_figures", lambda s: rollups.key_figures(
+        _orders(s), _funnel(s), _stock(s), _revenue(s)))
+
+
 _reports()
+_explore()
+_quality()
+_streams()

@@ -57,10 +57,12 @@ def decode_json(raw: DataFrame, fields: str) -> DataFrame:
     return raw.select(message.alias("message")).select("message.*")
 
 
-def replay(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    """Stored Parquet files as a stream, a few files per micro-batch."""
+def replay(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
+           files_per_trigger: int = 1) -> DataFrame:
+    """The Parquet files of a folder as a stream, a few files per micro-batch."""
     return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+            .options(maxFilesPerTrigger=files_per_trigger, pathGlobFilter=pattern)
+            .parquet(folder))
 
 
 def read_back(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -123,7 +125,7 @@ def star_order_messages(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("order_id"), "user_id",
         _lookup(F.col("event_type"), _STATUS).alias("status"),
         (k % 20 + 1).alias("num_of_item"),
-        F.col("value").alias("sale_price"),
+        F.col("value").cast("decimal(18,2)").alias("sale_price"),
         (k >= 97).alias("is_anomaly"),
         to_iso_instant(F.col("ts")).alias("created_at"))
 
