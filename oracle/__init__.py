@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "explore", "quality", "streams")
+MODULES = ("reports", "explore", "quality", "streams", "features")
 
 
 def all_sql() -> dict[str, str]:

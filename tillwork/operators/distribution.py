@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.columns import percent, rounded
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 
 
 def share_of_total(count: str) -> Column:
@@ -89,8 +89,11 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
         F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"))
         .alias(c) for c in columns)).alias("spans")).scalar()
 
+    # A scalar is put in a column once: every mention would plan its own copy.
+    spanned = df.select(*columns).withColumn("_spans", spans)
+
     def bar(c: str) -> Column:
-        lo, hi = spans[c]["lo"], spans[c]["hi"]
+        lo, hi = F.col("_spans")[c]["lo"], F.col("_spans")[c]["hi"]
         place = F.try_divide((F.col(c).cast("double") - lo) * F.lit(buckets), hi - lo)
         return F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(buckets - 1)).cast("int")
 
@@ -99,7 +102,7 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
             F.lit(c).alias("name"), bar(c).alias("bar"),
             *(F.col(c).cast("double").alias(v) for v in with_value),
             F.col(c).isNotNull().alias("known")) for c in columns))
-        return df.select(F.inline(cells)).filter("known").drop("known")
+        return spanned.select(F.inline(cells)).filter("known").drop("known")
 
     by_name = Window.partitionBy("name")
     bars = long().groupBy("name", "bar").agg(F.count(F.lit(1)).alias("n")).withColumns({
@@ -135,16 +138,17 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> D
 
     All columns share the three passes of :func:`column_quantiles`. A null stays null.
     """
-    cuts = column_quantiles(df, columns, [0.25, 0.75])
+    kept = df.columns
+    df = df.withColumn("_cuts", column_quantiles(df, columns, [0.25, 0.75]))
 
     def capped(c: str) -> Column:
-        low, high = cuts[c][0], cuts[c][1]
+        low, high = F.col("_cuts")[c][0], F.col("_cuts")[c][1]
         slack = (high - low) * reach
         value = F.col(c).cast("double")
         return (F.when(value < low - slack, low - slack)
                 .when(value > high + slack, high + slack).otherwise(value))
 
-    return df.withColumns({c: capped(c) for c in columns})
+    return df.withColumns({c: capped(c) for c in columns}).select(*kept)
 
 
 def histogram(df: DataFrame, value: str, bins: int, upper: Column | None = None) -> DataFrame:
@@ -157,13 +161,15 @@ def histogram(df: DataFrame, value: str, bins: int, upper: Column | None = None)
     if upper is not None:
         kept = kept.filter(x <= upper)
     span = kept.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("span")).scalar()
-    width = (span["hi"] - span["lo"]) / F.lit(float(bins))
-    bar = F.least(F.coalesce(F.floor(F.try_divide(x - span["lo"], width)), F.lit(0)),
+    lo, width = F.col("span")["lo"], (F.col("span")["hi"] - F.col("span")["lo"]) / F.lit(float(bins))
+    bar = F.least(F.coalesce(F.floor(F.try_divide(x - lo, width)), F.lit(0)),
                   F.lit(bins - 1)).cast("int")
-    filled = kept.groupBy(bar.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    filled = kept.withColumn("span", span).groupBy(bar.alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"),
+                                               span.alias("span"))
     return every.join(filled, "bin", "left").select(
-        "bin", (span["lo"] + F.col("bin") * width).alias("bin_start"),
+        "bin", (lo + F.col("bin") * width).alias("bin_start"),
         F.coalesce("count", F.lit(0)).alias("count"))
 
 

@@ -88,8 +88,9 @@ def price_profile(shop: Shop) -> DataFrame:
         F.min("sale_price").cast("double").alias("min"),
         F.max("sale_price").cast("double").alias("max"),
         mean(F.sum(_money()), F.count("sale_price")).alias("mean"),
-    ).select("min", "max", "mean", *(cuts[i].alias(name) for i, name in enumerate(
-        ("p50", "p75", "p90", "p95", "p99"))))
+    ).withColumn("cuts", cuts).select(
+        "min", "max", "mean", *(F.col("cuts")[i].alias(name) for i, name in enumerate(
+            ("p50", "p75", "p90", "p95", "p99"))))
 
 
 def price_histogram(shop: Shop, bins: int = 60, cap: float | None = 0.99) -> DataFrame:

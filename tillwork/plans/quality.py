@@ -66,10 +66,11 @@ def _range(df: DataFrame, name: str, column: str, suspicious, with_percentiles:
                    F.sum(flag(value.isNull())).alias("nulls"))
     if with_percentiles:
         cuts = column_quantiles(df, [column], list(PERCENTILES.values()))[column]
-        points = [cuts[i].alias(p) for i, p in enumerate(PERCENTILES)]
+        stats = stats.withColumn("cuts", cuts)
+        points = [F.col("cuts")[i].alias(p) for i, p in enumerate(PERCENTILES)]
     else:
         points = [F.lit(None).cast("double").alias(p) for p in PERCENTILES]
-    return stats.select(F.lit(name).alias("check"), "*", *points)
+    return stats.select(F.lit(name).alias("check"), "min", "max", "suspicious", "nulls", *points)
 
 
 def ranges(shop: Shop) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.plans import explore, quality, reports
+from tillwork.plans import explore, features, models, quality, reports
 from tillwork.session import prepare
 from tillwork.sources import StarShop, streams
 from tillwork.streaming import jobs, rollups, sinks
@@ -197,7 +198,43 @@ def _streams() -> None:
         _orders(s), _funnel(s), _stock(s), _revenue(s)))
 
 
+# --- features and models -----------------------------------------------------------------
+
+def _vectors(df: DataFrame, labels: list[str], numbers: list[str], *keep: str) -> DataFrame:
+    built = features.vectors(df, labels, numbers)
+    return built.select(*features.KEYS, *keep, vector_to_array("features_scaled").alias("features"))
+
+
+def _models() -> None:
+    on_shop("p1_item_features", lambda s: features.item_features(s).drop("ordered_at"))
+    on_shop("p2_return_vectors", lambda s: _vectors(
+        features.return_input(features.item_features(s)), features.RETURN_LABELS,
+        features.RETURN_NUMBERS, "is_returned"))
+    on_shop("p3_rfm_features", lambda s: features.rfm_features(features.item_features(s)))
+    on_shop("p4_price_vectors", lambda s: _vectors(
+        features.price_input(features.item_features(s)), features.PRICE_LABELS,
+        features.PRICE_NUMBERS, "sale_price"))
+    on_shop("prj11_return_label", lambda s: features.return_input(features.item_master(s)).groupBy(
+        "order_status", "is_returned").agg(F.count(F.lit(1)).alias("items")))
+
+    def weights(s: StarShop) -> DataFrame:
+        labelled = features.return_input(features.item_master(s)).select("is_returned")
+        return labelled.withColumn("class_weight", models.class_weights(labelled, "is_returned")) \
+            .groupBy("is_returned", "class_weight").agg(F.count(F.lit(1)).alias("items"))
+    on_shop("ml07_class_weights", weights)
+    on_shop("m1_return_prediction", models.return_report)
+    on_shop("m2_customer_clusters", models.cluster_report)
+    on_shop("m3_price_prediction", models.price_report)
+    on_shop("m3_price_prediction_leak_free", lambda s: models.price_report(s, leak_free=True))
+    on_shop("fil15_cluster_sample", lambda s: models.plot_sample(
+        models.cluster_customers(s).predictions.select("recency", "monetary", "cluster"), 0.2))
+    on_shop("fil16_train_share", lambda s: models.split(
+        s.items("order_id", "product_id", "sale_price"),
+        ["order_id", "product_id", "sale_price"])[0].agg(F.count(F.lit(1)).alias("train_rows")))
+
+
 _reports()
 _explore()
 _quality()
 _streams()
+_models()

@@ -10,7 +10,8 @@ relation               columns
 =====================  ==================================================================
 ``items``              order_id, product_id, inventory_item_id, status, sale_price,
                        quantity, user_id, created_at, shipped_at, delivered_at,
-                       returned_at
+                       returned_at; also order_status and ordered_at, looked up from
+                       the order
 ``orders``             order_id, user_id, status, created_at
 ``users``              user_id, full_name, gender, age, country, traffic_source,
                        created_at
@@ -107,7 +108,8 @@ class StarShop(Shop):
     decimals: totals then do not depend on the order of addition.
     """
 
-    ORDER_COLUMNS = {"user_id", "created_at", "shipped_at", "delivered_at", "returned_at"}
+    ORDER_COLUMNS = {"user_id", "created_at", "shipped_at", "delivered_at", "returned_at",
+                     "order_status", "ordered_at"}
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -135,13 +137,15 @@ class StarShop(Shop):
     def items(self, *columns: str) -> DataFrame:
         lines = self._lines()
         if not columns or self.ORDER_COLUMNS & set(columns):
-            lines = lines.join(self.orders("order_id", "user_id", "created_at"), "order_id")
+            heads = self.orders().withColumnRenamed("status", "order_status")
+            lines = lines.join(heads, "order_id")
             status, moved = F.col("status"), F.col("moved_at")
             lines = lines.withColumns({
                 "shipped_at": F.when(status.isin("Shipped", "Complete", "Returned"),
                                      F.col("created_at")),
                 "delivered_at": F.when(status.isin("Complete", "Returned"), moved),
                 "returned_at": F.when(status == "Returned", moved),
+                "ordered_at": F.col("created_at"),
             })
         columns = columns or ("order_id", "user_id", "product_id", "inventory_item_id", "status",
                               "sale_price", "quantity", "created_at", "shipped_at",
@@ -300,8 +304,13 @@ class CsvShop(Shop):
         return self.table(name).withColumns({c: clean_timestamp(F.col(c)) for c in columns})
 
     def items(self, *columns: str) -> DataFrame:
-        return _pick(self._with_times("order_items", "created_at", "shipped_at", "delivered_at",
-                                      "returned_at").withColumn("quantity", F.lit(1)), columns)
+        lines = self._with_times("order_items", "created_at", "shipped_at", "delivered_at",
+                                 "returned_at").withColumn("quantity", F.lit(1))
+        if {"order_status", "ordered_at"} & set(columns):
+            heads = self.orders().select("order_id", F.col("status").alias("order_status"),
+                                         F.col("created_at").alias("ordered_at"))
+            lines = lines.join(heads, "order_id", "left")
+        return _pick(lines, columns)
 
     def orders(self, *columns: str) -> DataFrame:
         return _pick(self._with_times("orders", "created_at")
@@ -337,7 +346,9 @@ class CsvShop(Shop):
             "traffic_source", "created_at"), columns)
 
     def priced_items(self, *columns: str, how: str = "left") -> DataFrame:
-        return self.items().join(
+        of_product = {"category", "brand", "department", "cost", "retail_price"}
+        lines = self.items(*{"product_id", *columns} - of_product)
+        return lines.join(
             self.products("product_id", "category", "brand", "department", "cost",
                           "retail_price"), "product_id", how).select(*columns)
 
