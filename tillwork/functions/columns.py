@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,6 +64,20 @@ def month_index(month: Column, first_month: Column) -> Column:
     return F.floor(days / 30).cast("int")
 
 
+def hundredths(value: Column) -> Column:
+    """A double that stands for two decimal places, as a whole number of hundredths.
+
+    Many times faster than a cast of the double to a decimal, which goes through text.
+    """
+    return F.floor(value * 100 + F.lit(0.5))
+
+
+def as_money(units: Column, places: int) -> Column:
+    """A whole number of ``10 ** -places`` units as an exact decimal(18, places)."""
+    unit = F.lit(Decimal(1).scaleb(-places))
+    return (units.cast("decimal(18,0)") * unit).cast(f"decimal(18,{places})")
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it does not or is unknown."""
     return F.when(condition, 1).otherwise(0)

@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.functions.columns import clean_timestamp, month_key
+from tillwork.functions.columns import as_money, clean_timestamp, hundredths, month_key
 
 
 class Shop(ABC):
@@ -121,16 +121,16 @@ class StarShop(Shop):
                   .when(flag_ == "A", "Shipped")
                   .when(line == "F", "Processing")
                   .otherwise("Cancelled"))
-        full = F.col("l_extendedprice").cast("decimal(18,2)")
+        cents = hundredths(F.col("l_extendedprice"))
+        paid_percent = F.lit(100) - hundredths(F.col("l_discount"))
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("inventory_item_id"),
             status.alias("status"),
-            (full * (1 - F.col("l_discount").cast("decimal(4,2)")))
-            .cast("decimal(18,4)").alias("sale_price"),
-            full.alias("line_price"),
-            F.col("l_quantity").cast("decimal(18,0)").alias("quantity"),
+            as_money(cents * paid_percent, 4).alias("sale_price"),
+            as_money(cents, 2).alias("line_price"),
+            F.col("l_quantity").cast("long").cast("decimal(18,0)").alias("quantity"),
             F.col("l_shipdate").alias("moved_at"),
         )
 
@@ -186,7 +186,7 @@ class StarShop(Shop):
                                            "traffic_source", "created_at")))
 
     def products(self, *columns: str) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(18,2)")
+        price = as_money(hundredths(F.col("p_retailprice")), 2)
         return _pick(self.table("part").select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("name"),

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.functions.columns import to_iso_instant
+from tillwork.functions.columns import as_money, hundredths, to_iso_instant
 
 # --- Fixed values: the messages' fields, and the reader's limits ---------------------
 ORDER_FIELDS = (
@@ -125,7 +125,7 @@ def star_order_messages(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("order_id"), "user_id",
         _lookup(F.col("event_type"), _STATUS).alias("status"),
         (k % 20 + 1).alias("num_of_item"),
-        F.col("value").cast("decimal(18,2)").alias("sale_price"),
+        as_money(hundredths(F.col("value")), 2).alias("sale_price"),
         (k >= 97).alias("is_anomaly"),
         to_iso_instant(F.col("ts")).alias("created_at"))
 
@@ -150,7 +150,7 @@ def star_inventory_messages(events: DataFrame) -> DataFrame:
 
 def star_revenue_messages(events: DataFrame) -> DataFrame:
     """Cost is a share of the price that differs by event, so margins vary."""
-    user, price = F.col("user_id"), F.col("value").cast("decimal(18,2)")
+    user, price = F.col("user_id"), as_money(hundredths(F.col("value")), 2)
     items = (F.get_json_object("props", "$.k").cast("int") % 3 + 1)
     cost = price * (F.lit(50) + F.col("event_id") % 40).cast("decimal(4,0)") / 100
     cost = cost.cast("decimal(18,4)")
