@@ -40,27 +40,6 @@ def counted_values(df: DataFrame, keys: Sequence[str], value: str,
                                         *(c.alias(a) for a, c in extra.items()))
 
 
-def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str,
-                        probs: dict[str, float], n: str = "n") -> DataFrame:
-    """Exact discrete quantiles per key of a table from :func:`counted_values`.
-
-    A quantile is the smallest value that reaches its share of the rows.
-    """
-    window = Window.partitionBy(*keys)
-    running = F.sum(n).over(window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumns({"_upto": running, "_all": F.sum(n).over(window)})
-    return ranked.groupBy(*keys).agg(*(
-        F.min(F.when(F.col("_upto") >= rank_of(F.col("_all"), F.lit(p)), F.col(value)))
-        .alias(name) for name, p in probs.items()))
-
-
-def interpolated_quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str,
-                                     probs: dict[str, float], n: str = "n") -> DataFrame:
-    """Exact interpolated quantiles per key of a table from :func:`counted_values`."""
-    return counts.groupBy(*keys).agg(*(
-        F.percentile(value, p, F.col(n)).alias(name) for name, p in probs.items()))
-
-
 def moments_of_counts(value: str, n: str = "n") -> dict[str, Column]:
     """count, mean and sample standard deviation as aggregates over counted values.
 

@@ -18,8 +18,8 @@ from tillwork.functions.columns import (
     correlation_verdict, flag, margin_pct, mean, percent, position_in, profit, ratio,
     risk_quadrant, rounded, seconds_between)
 from tillwork.operators.distribution import (
-    bounded_sample, column_quantiles, counted_values, histogram, interpolated_quantiles_of_counts,
-    moments_of_counts, quantiles_of_counts, share_of_max, share_of_total)
+    bounded_sample, column_quantiles, counted_values, histogram, moments_of_counts, share_of_max,
+    share_of_total)
 from tillwork.operators.ranking import average_rank
 from tillwork.operators.shape import in_order, spread
 from tillwork.sources.shop import Shop
@@ -43,7 +43,7 @@ def _everywhere() -> Window:
 # --- business overview ------------------------------------------------------------------
 
 def _monthly(shop: Shop) -> DataFrame:
-    per_order = shop.order_totals([F.sum(_money()).alias("revenue")], keep=_complete(),
+    per_order = shop.order_totals([F.sum(_money()).alias("revenue")], statuses=COMPLETE,
                                   fields=("user_id", "month"))
     return per_order.groupBy("month").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("exact"))
@@ -309,10 +309,9 @@ def double_risk(shop: Shop) -> DataFrame:
 
 def category_by_gender(shop: Shop) -> DataFrame:
     """Revenue by gender for each category, and its split in percent."""
-    sold = shop.items("user_id", "product_id", "status", "sale_price").filter(_complete())
-    buyers = shop.users("user_id", "gender").filter(F.col("gender").isin("F", "M"))
-    cells = (sold.join(buyers, "user_id")
-             .join(shop.products("product_id", "category"), "product_id", "left"))
+    sold = shop.items("product_id", "sale_price", "gender", statuses=COMPLETE)
+    cells = sold.filter(F.col("gender").isin("F", "M")).join(
+        shop.products("product_id", "category"), "product_id", "left")
     wide = spread(cells, "category", "gender", ["F", "M"], F.sum(_money()), fill=0)
     women, men = F.col("F").cast("double"), F.col("M").cast("double")
     total = (F.col("F") + F.col("M")).cast("double")
@@ -349,91 +348,100 @@ def source_returns(shop: Shop) -> DataFrame:
 # --- delivery ---------------------------------------------------------------------------
 
 def _delivery_counts(shop: Shop, most_days: int) -> DataFrame:
-    """Items by country and seconds from shipping to delivery, within an open range of days.
+    """Per country and seconds from shipping to delivery: deliveries, items and returns.
 
-    The range bounds the distinct values per country, so every statistic below is exact and
-    needs this small table only.
+    Only spans inside the open range of days count as deliveries (``n``); everything else is
+    one row per country. The range bounds the number of rows, so all delivery statistics are
+    exact and read the facts once.
     """
-    seconds = seconds_between(F.col("shipped_at"), F.col("delivered_at"))
-    per_user = counted_values(
-        shop.items("user_id", "shipped_at", "delivered_at").select("user_id", seconds.alias("seconds"))
-        .filter((F.col("seconds") > 0) & (F.col("seconds") < most_days * DAY)),
-        ["user_id"], "seconds")
-    return (per_user.join(shop.users("user_id", "country"), "user_id", "left")
-            .groupBy("country", "seconds").agg(F.sum("n").alias("n")))
-
-
-def _top_countries(counts: DataFrame, top: int) -> DataFrame:
-    """Rows of the ``top`` countries by deliveries."""
-    countries = counts.groupBy("country").agg(F.sum("n").alias("volume"))
-    best = countries.orderBy(F.desc("volume"), "country").limit(top).select("country")
-    return counts.join(best, "country", "left_semi")
+    span = seconds_between(F.col("shipped_at"), F.col("delivered_at"))
+    timed = shop.items("status", "shipped_at", "delivered_at", "country").select(
+        "country", "status", F.when((span > 0) & (span < most_days * DAY), span).alias("seconds"))
+    return timed.groupBy("country", "seconds").agg(
+        F.count("seconds").alias("n"), F.count("status").alias("items"),
+        F.sum(flag(F.col("status") == RETURNED)).alias("returned"))
 
 
 def _in_days(seconds: Column) -> Column:
     return seconds.cast("double") / DAY
 
 
+def _delivery_statistics(shop: Shop, most_days: int, top: int) -> DataFrame:
+    """Exact statistics of the countries with most deliveries.
+
+    They are computed for every country; the few rows of the result are then cut to the top.
+    """
+    counts = _delivery_counts(shop, most_days)
+    window = Window.partitionBy("country")
+    ranked = counts.withColumns({
+        "upto": F.sum("n").over(window.orderBy("seconds")), "all": F.sum("n").over(window)})
+    stats = moments_of_counts("seconds")
+    reached = F.col("upto") >= F.ceil(F.col("all") / F.lit(2))
+    per_country = ranked.groupBy("country").agg(
+        _in_days(F.min(F.when(reached, F.col("seconds")))).alias("median_days"),
+        (stats["mean"] / DAY).alias("mean_days"), (stats["std"] / DAY).alias("std_days"),
+        stats["count"].alias("count"), F.sum("items").alias("total_items"),
+        percent(F.sum("returned"), F.sum("items")).alias("return_rate"))
+    busiest = per_country.filter("count > 0").orderBy(F.desc("count"), "country").limit(top)
+    return busiest.filter(F.col("country").isNotNull())
+
+
 def delivery_overview(shop: Shop, most_days: int = 60) -> DataFrame:
-    """Deliveries, mean and median days over all countries."""
+    """Deliveries, mean and median days over all countries: one row."""
     counts = _delivery_counts(shop, most_days).groupBy("seconds").agg(F.sum("n").alias("n"))
-    middle = quantiles_of_counts(counts, [], "seconds", {"median": 0.5})
-    total = moments_of_counts("seconds")
-    return counts.agg(total["count"].alias("n"), rounded(total["mean"] / DAY, DETAIL).alias("mean_days")) \
-        .withColumn("median_days", rounded(_in_days(middle.scalar()), DETAIL))
+    # One row per whole second of the range at most.
+    ranked = counts.filter("seconds IS NOT NULL").withColumns({
+        "upto": F.sum("n").over(Window.orderBy("seconds")), "all": F.sum("n").over(_everywhere())})
+    stats = moments_of_counts("seconds")
+    reached = F.col("upto") >= F.ceil(F.col("all") / F.lit(2))
+    return ranked.agg(
+        stats["count"].alias("n"), rounded(stats["mean"] / DAY, DETAIL).alias("mean_days"),
+        rounded(_in_days(F.min(F.when(reached, F.col("seconds")))), DETAIL).alias("median_days"))
 
 
 def delivery_by_country(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
     """Median, mean and deviation of delivery days of the countries with most deliveries."""
-    counts = _top_countries(_delivery_counts(shop, most_days), top)
-    stats = moments_of_counts("seconds")
-    window = Window.partitionBy("country")
-    ranked = counts.withColumns({
-        "upto": F.sum("n").over(window.orderBy("seconds")), "all": F.sum("n").over(window)})
-    return ranked.groupBy("country").agg(
-        rounded(_in_days(F.min(F.when(F.col("upto") >= F.ceil(F.col("all") / F.lit(2)),
-                                      F.col("seconds"))))).alias("median_days"),
-        rounded(stats["mean"] / DAY).alias("mean_days"), rounded(stats["std"] / DAY).alias("std_days"),
-        stats["count"].alias("count")).orderBy("median_days", "country")
+    return _delivery_statistics(shop, most_days, top).select(
+        "country", *(rounded(F.col(c)).alias(c) for c in ("median_days", "mean_days", "std_days")),
+        "count").orderBy("median_days", "country")
 
 
 def delivery_boxes(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
     """Box-plot figures of delivery days, fastest median first."""
-    counts = _top_countries(_delivery_counts(shop, most_days), top)
-    cuts = interpolated_quantiles_of_counts(
-        counts, ["country"], "seconds",
-        {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0})
-    return cuts.select("country", *(rounded(_in_days(F.col(c)), DETAIL).alias(c)
-                                    for c in ("low", "q1", "median", "q3", "high"))
-                       ).orderBy("median", "country")
+    counts = _delivery_counts(shop, most_days).filter("seconds IS NOT NULL")
+    marks = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
+    boxes = counts.groupBy("country").agg(
+        F.sum("n").alias("count"),
+        *(F.percentile("seconds", p, F.col("n")).alias(name) for name, p in marks.items()))
+    busiest = boxes.orderBy(F.desc("count"), "country").limit(top).filter(
+        F.col("country").isNotNull())
+    return busiest.select("country", *(rounded(_in_days(F.col(c)), DETAIL).alias(c) for c in marks)
+                          ).orderBy("median", "country")
 
 
 def delivery_histogram(shop: Shop, most_days: int = 60, bins: int = 40) -> DataFrame:
-    seconds = seconds_between(F.col("shipped_at"), F.col("delivered_at"))
-    spans = shop.items("shipped_at", "delivered_at").select(_in_days(seconds).alias("days"))
+    days = _in_days(seconds_between(F.col("shipped_at"), F.col("delivered_at")))
+    spans = shop.items("shipped_at", "delivered_at").select(days.alias("days"))
     return histogram(spans.filter((F.col("days") > 0) & (F.col("days") < most_days)), "days", bins)
 
 
-def delivery_and_returns(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
-    """Median delivery days and return rate of the countries with most deliveries."""
-    medians = delivery_by_country_exact(shop, most_days, top)
-    totals = market(shop, "country").select(
-        "country", F.col("items").alias("total_items"),
-        percent(F.col("returned"), F.col("items")).alias("return_rate"))
-    return medians.join(totals, "country")
+def delivery_sample(shop: Shop, most_days: int = 60, rows: int = 50_000, seed: int = 42) -> DataFrame:
+    """At most about ``rows`` delivery times for a plot of single points."""
+    days = _in_days(seconds_between(F.col("shipped_at"), F.col("delivered_at")))
+    spans = shop.items("shipped_at", "delivered_at").select(days.alias("days"))
+    return bounded_sample(spans.filter((F.col("days") > 0) & (F.col("days") < most_days)), rows, seed)
 
 
-def delivery_by_country_exact(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
-    """Unrounded medians, for statistics that build on them."""
-    counts = _top_countries(_delivery_counts(shop, most_days), top)
-    return quantiles_of_counts(counts, ["country"], "seconds", {"middle": 0.5}).select(
-        "country", _in_days(F.col("middle")).alias("median_days"))
+def delivery_and_returns(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
+    """Median delivery days and return rate of the countries with most deliveries."""
+    return _delivery_statistics(shop, most_days, top).select(
+        "country", "median_days", "total_items", "return_rate").orderBy("median_days", "country")
 
 
 def delivery_correlation(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
     """Pearson correlation and least-squares line of return rate on median days: one row."""
     days, rate = "median_days", "return_rate"
-    fit = delivery_and_returns(shop, most_days, top).agg(
+    fit = _delivery_statistics(shop, most_days, top).agg(
         F.corr(days, rate).alias("r"), F.regr_slope(rate, days).alias("slope"),
         F.regr_intercept(rate, days).alias("intercept"), F.count(F.lit(1)).alias("countries"))
     return fit.select(*(rounded(F.col(c), DETAIL).alias(c) for c in ("r", "slope", "intercept")),

@@ -41,10 +41,9 @@ def with_price_features(df: DataFrame) -> DataFrame:
 def item_master(shop: Shop) -> DataFrame:
     """Items with their order's, buyer's and product's attributes; prices as doubles."""
     items = shop.priced_items(*KEYS, "sale_price", "retail_price", "cost", "category",
-                              "department", "order_status", "ordered_at")
-    people = shop.users("user_id", "gender", "age", "traffic_source")
-    joined = items.join(people, "user_id", "left")
-    return joined.withColumns({c: F.col(c).cast("double") for c in CAPPED})
+                              "department", "order_status", "ordered_at", "gender", "age",
+                              "traffic_source")
+    return items.withColumns({c: F.col(c).cast("double") for c in CAPPED})
 
 
 def item_features(shop: Shop) -> DataFrame:

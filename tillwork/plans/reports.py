@@ -38,7 +38,7 @@ def monthly_growth(shop: Shop, statuses: Sequence[str] = SOLD, every_month: bool
     Growth compares with the previous month that has sales. ``every_month`` adds the months
     without sales (revenue 0), so that growth always compares with the calendar month before.
     """
-    sold = shop.items("product_id", "status", "sale_price", "created_at").filter(_is_in(statuses))
+    sold = shop.items("product_id", "sale_price", "created_at", statuses=statuses)
     monthly = (
         sold.join(shop.products("product_id", "category"), "product_id")
         .groupBy("category", month_key(F.col("created_at")).alias("order_month"))
@@ -92,7 +92,7 @@ def top_customers(shop: Shop, k: int = 5, statuses: Sequence[str] = SOLD) -> Dat
     """
     per_order = shop.order_totals(
         [F.count(F.lit(1)).alias("n_items"),
-         F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("spent")], keep=_is_in(statuses))
+         F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("spent")], statuses=statuses)
     per_user = per_order.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("n_items").alias("total_items"),
         F.sum("spent").alias("spent"))
@@ -167,7 +167,7 @@ def cohort_retention(shop: Shop, statuses: Sequence[str] = SOLD) -> DataFrame:
     """
     per_order = shop.order_totals(
         [F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("spend")],
-        keep=_is_in(statuses), fields=("user_id", "month"))
+        statuses=statuses, fields=("user_id", "month"))
     spend = per_order.groupBy("user_id", "month").agg(F.sum("spend").alias("spend"))
     cohorts = shop.users("user_id", "created_at").select(
         "user_id", month_key(F.col("created_at")).alias("cohort_month"))
@@ -209,8 +209,8 @@ def traffic_funnel(shop: Shop, statuses: Sequence[str] = SOLD) -> DataFrame:
     Distinct users and orders become plain counts of rows: items are added up per order,
     orders per user, and users per source, so no row is multiplied for several distincts.
     """
-    revenue = shop.items("order_id", "status", "sale_price").groupBy("order_id").agg(
-        F.sum(F.when(_is_in(statuses), F.col("sale_price").cast("decimal(18,4)"))).alias("revenue"))
+    revenue = shop.items("order_id", "sale_price", statuses=statuses).groupBy("order_id").agg(
+        F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("revenue"))
     per_user = (
         shop.orders("order_id", "user_id", "status").join(revenue, "order_id", "left")
         .groupBy("user_id").agg(
@@ -309,7 +309,7 @@ def rfm_raw(shop: Shop, statuses: Sequence[str] = SOLD, as_of: str = RECENCY_DAT
     """Days since the last order, number of orders and spend of each buyer."""
     per_order = shop.order_totals(
         [F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("spent")],
-        keep=_is_in(statuses), fields=("user_id", "last_at"))
+        statuses=statuses, fields=("user_id", "last_at"))
     per_user = per_order.groupBy("user_id").agg(
         F.datediff(F.to_date(F.lit(as_of)), F.max("last_at")).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),

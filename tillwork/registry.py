@@ -76,6 +76,7 @@ def _explore() -> None:
     on_shop("e63_delivery_by_country", explore.delivery_by_country)
     on_shop("e63_delivery_boxes", explore.delivery_boxes)
     on_shop("e63_delivery_histogram", explore.delivery_histogram)
+    on_shop("e63_delivery_sample", explore.delivery_sample)
     on_shop("e64_delivery_and_returns", explore.delivery_and_returns)
     on_shop("e64_delivery_correlation", explore.delivery_correlation)
     on_shop("join09_stock_units", explore.stock_units)

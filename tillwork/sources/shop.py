@@ -10,8 +10,8 @@ relation               columns
 =====================  ==================================================================
 ``items``              order_id, product_id, inventory_item_id, status, sale_price,
                        quantity, user_id, created_at, shipped_at, delivered_at,
-                       returned_at; also order_status and ordered_at, looked up from
-                       the order
+                       returned_at; also order_status and ordered_at, looked up from the
+                       order, and gender, age, country and traffic_source, from the buyer
 ``orders``             order_id, user_id, status, created_at
 ``users``              user_id, full_name, gender, age, country, traffic_source,
                        created_at
@@ -28,6 +28,8 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +46,8 @@ class Shop(ABC):
         self._tables: dict[str, DataFrame] = {}
 
     @abstractmethod
-    def items(self, *columns: str) -> DataFrame: ...
+    def items(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
+        """Items, all or only those of some statuses."""
 
     @abstractmethod
     def orders(self, *columns: str) -> DataFrame: ...
@@ -68,12 +71,12 @@ class Shop(ABC):
     def web_events(self, *columns: str) -> DataFrame: ...
 
     @abstractmethod
-    def priced_items(self, *columns: str, how: str = "left") -> DataFrame:
-        """Items joined with products: item columns plus category, brand, department,
+    def priced_items(self, *columns: str) -> DataFrame:
+        """Items with their products, if known: item columns plus category, brand, department,
         cost and retail_price of the whole line."""
 
     @abstractmethod
-    def order_totals(self, metrics: Sequence[Column], keep: Column | None = None,
+    def order_totals(self, metrics: Sequence[Column], statuses: Sequence[str] | None = None,
                      fields: Sequence[str] = ("user_id",)) -> DataFrame:
         """Item metrics added up per order, with ``fields`` out of user_id, month
         (``yyyy-MM`` of creation) and last_at (latest creation time).
@@ -97,6 +100,10 @@ class Shop(ABC):
     def _read(self, name: str) -> DataFrame: ...
 
 
+OF_BUYER = {"gender", "age", "country", "traffic_source"}
+OF_PRODUCT = {"category", "brand", "department", "cost", "retail_price"}
+
+
 def _pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns) if columns else df
 
@@ -111,33 +118,70 @@ class StarShop(Shop):
     ORDER_COLUMNS = {"user_id", "created_at", "shipped_at", "delivered_at", "returned_at",
                      "order_status", "ordered_at"}
 
+    # --- Fixed values: the tables' columns, declared so that opening one runs no job ---
+    SCHEMAS = {
+        "region": "r_regionkey int, r_name string",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+        "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                    "c_mktsegment string",
+        "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+        "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+                "p_retailprice double",
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                  "o_orderdate timestamp_ntz, o_orderpriority string",
+        "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                    "l_quantity double, l_extendedprice double, l_discount double, "
+                    "l_tax double, l_returnflag string, l_linestatus string, "
+                    "l_shipdate timestamp_ntz",
+        "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                  "value double, props string",
+    }
+    # -----------------------------------------------------------------------------------
+
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    def _lines(self) -> DataFrame:
-        flag_, line = F.col("l_returnflag"), F.col("l_linestatus")
-        status = (F.when(flag_ == "R", "Returned")
-                  .when((flag_ == "A") & (line == "F"), "Complete")
-                  .when(flag_ == "A", "Shipped")
-                  .when(line == "F", "Processing")
-                  .otherwise("Cancelled"))
+        return self.spark.read.schema(self.SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+
+    @staticmethod
+    def _status_rules() -> dict[str, Column]:
+        returned, closed = F.col("l_returnflag"), F.col("l_linestatus") == "F"
+        return {
+            "Returned": returned == "R",
+            "Complete": (returned == "A") & closed,
+            "Shipped": (returned == "A") & ~closed,
+            "Processing": (returned == "N") & closed,
+            "Cancelled": (returned == "N") & ~closed,
+        }
+
+    def _lines(self, statuses: Sequence[str] | None = None) -> DataFrame:
+        rules = self._status_rules()
+        lines = self.table("lineitem")
+        if statuses is not None:
+            # On the stored columns, so that the scan skips row groups.
+            lines = lines.filter(reduce(or_, (rules[s] for s in statuses)))
         cents = hundredths(F.col("l_extendedprice"))
         paid_percent = F.lit(100) - hundredths(F.col("l_discount"))
-        return self.table("lineitem").select(
+        return lines.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("inventory_item_id"),
-            status.alias("status"),
+            F.coalesce(*(F.when(rule, name) for name, rule in rules.items())).alias("status"),
             as_money(cents * paid_percent, 4).alias("sale_price"),
             as_money(cents, 2).alias("line_price"),
             F.col("l_quantity").cast("long").cast("decimal(18,0)").alias("quantity"),
             F.col("l_shipdate").alias("moved_at"),
         )
 
-    def items(self, *columns: str) -> DataFrame:
-        lines = self._lines()
-        if not columns or self.ORDER_COLUMNS & set(columns):
+    def items(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
+        columns = columns or ("order_id", "user_id", "product_id", "inventory_item_id", "status",
+                              "sale_price", "quantity", "created_at", "shipped_at",
+                              "delivered_at", "returned_at")
+        lines = self._lines(statuses)
+        of_buyer = OF_BUYER & set(columns)
+        if of_buyer or self.ORDER_COLUMNS & set(columns):
             heads = self.orders().withColumnRenamed("status", "order_status")
+            if of_buyer:
+                # Buyers join the orders, which are fewer than the items.
+                heads = heads.join(self.users("user_id", *sorted(of_buyer)), "user_id", "left")
             lines = lines.join(heads, "order_id")
             status, moved = F.col("status"), F.col("moved_at")
             lines = lines.withColumns({
@@ -147,9 +191,6 @@ class StarShop(Shop):
                 "returned_at": F.when(status == "Returned", moved),
                 "ordered_at": F.col("created_at"),
             })
-        columns = columns or ("order_id", "user_id", "product_id", "inventory_item_id", "status",
-                              "sale_price", "quantity", "created_at", "shipped_at",
-                              "delivered_at", "returned_at")
         return lines.select(*columns)
 
     def orders(self, *columns: str) -> DataFrame:
@@ -218,24 +259,19 @@ class StarShop(Shop):
         from tillwork.sources.streams import star_web_events
         return _pick(star_web_events(self.table("events")), columns)
 
-    def priced_items(self, *columns: str, how: str = "left") -> DataFrame:
-        of_product = {"category", "brand", "department", "cost", "retail_price"}
-        of_item = [c for c in columns if c not in of_product]
-        lines = self.items("product_id", "line_price", "quantity",
-                           *(c for c in of_item if c not in ("product_id", "quantity")))
+    def priced_items(self, *columns: str) -> DataFrame:
+        lines = self.items(*{"product_id", "line_price", "quantity", *columns} - OF_PRODUCT)
         joined = lines.join(
             self.products("product_id", "category", "brand", "department", "cost"),
-            "product_id", how)
+            "product_id", "left")
         return joined.withColumns({
             "cost": F.col("cost") * F.col("quantity"),
             "retail_price": F.col("line_price"),
         }).select(*columns)
 
-    def order_totals(self, metrics: Sequence[Column], keep: Column | None = None,
+    def order_totals(self, metrics: Sequence[Column], statuses: Sequence[str] | None = None,
                      fields: Sequence[str] = ("user_id",)) -> DataFrame:
-        lines = self._lines()
-        if keep is not None:
-            lines = lines.filter(keep)
+        lines = self._lines(statuses)
         per_order = lines.groupBy("order_id").agg(*metrics)
         heads = self.orders("order_id", "user_id", "created_at").select(
             "order_id", "user_id", month_key(F.col("created_at")).alias("month"),
@@ -303,13 +339,18 @@ class CsvShop(Shop):
     def _with_times(self, name: str, *columns: str) -> DataFrame:
         return self.table(name).withColumns({c: clean_timestamp(F.col(c)) for c in columns})
 
-    def items(self, *columns: str) -> DataFrame:
+    def items(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
         lines = self._with_times("order_items", "created_at", "shipped_at", "delivered_at",
                                  "returned_at").withColumn("quantity", F.lit(1))
+        if statuses is not None:
+            lines = lines.filter(F.col("status").isin(list(statuses)))
         if {"order_status", "ordered_at"} & set(columns):
             heads = self.orders().select("order_id", F.col("status").alias("order_status"),
                                          F.col("created_at").alias("ordered_at"))
             lines = lines.join(heads, "order_id", "left")
+        of_buyer = OF_BUYER & set(columns)
+        if of_buyer:
+            lines = lines.join(self.users("user_id", *sorted(of_buyer)), "user_id", "left")
         return _pick(lines, columns)
 
     def orders(self, *columns: str) -> DataFrame:
@@ -345,18 +386,15 @@ class CsvShop(Shop):
             F.col("id").alias("event_id"), "user_id", "session_id", "event_type",
             "traffic_source", "created_at"), columns)
 
-    def priced_items(self, *columns: str, how: str = "left") -> DataFrame:
-        of_product = {"category", "brand", "department", "cost", "retail_price"}
-        lines = self.items(*{"product_id", *columns} - of_product)
+    def priced_items(self, *columns: str) -> DataFrame:
+        lines = self.items(*{"product_id", *columns} - OF_PRODUCT)
         return lines.join(
             self.products("product_id", "category", "brand", "department", "cost",
-                          "retail_price"), "product_id", how).select(*columns)
+                          "retail_price"), "product_id", "left").select(*columns)
 
-    def order_totals(self, metrics: Sequence[Column], keep: Column | None = None,
+    def order_totals(self, metrics: Sequence[Column], statuses: Sequence[str] | None = None,
                      fields: Sequence[str] = ("user_id",)) -> DataFrame:
-        lines = self.items().withColumn("month", month_key(F.col("created_at")))
-        if keep is not None:
-            lines = lines.filter(keep)
+        lines = self.items(statuses=statuses).withColumn("month", month_key(F.col("created_at")))
         keys = [f for f in fields if f != "last_at"]
         extra = [F.max("created_at").alias("last_at")] if "last_at" in fields else []
         return lines.groupBy("order_id", *keys).agg(*metrics, *extra)
