@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "explore", "quality", "streams", "features")
+MODULES = ("reports", "explore", "quality", "streams", "features", "basics")
 
 
 def all_sql() -> dict[str, str]:

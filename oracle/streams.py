@@ -145,10 +145,10 @@ FROM x GROUP BY w, traffic_source""",
     "s3_inventory_snapshot_stream": f"WITH {S3} SELECT * FROM s3",
     "s4_revenue_dashboard_stream": f"WITH {s4(HOURS, HALF, 4)} {closed('s4', '3 minutes', 'unique_buyers')}",
     "str15_outlier_orders": f"""WITH {ORDERS},
-h AS (SELECT status, avg(CAST(price AS DOUBLE)) + 3 * stddev_samp(CAST(price AS DOUBLE)) AS top FROM o GROUP BY 1)
+h AS (SELECT avg(CAST(price AS DOUBLE)) + 3 * stddev_samp(CAST(price AS DOUBLE)) AS top FROM o)
 SELECT event_id AS order_id, status, {d('price')} AS sale_price, items AS num_of_item,
   {d('price')} > top AS high_price, items > 15 AS many_items
-FROM o JOIN h USING (status) WHERE {d('price')} > top OR items > 15""",
+FROM o, h WHERE {d('price')} > top OR items > 15""",
     "r1a_value_by_status": f"""WITH {S1}
 SELECT status, {d(d8('total_gmv'))} AS total_gmv FROM s1 GROUP BY 1""",
     "r1b_anomaly_trend": f"""WITH {S1}

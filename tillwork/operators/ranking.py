@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwork.functions.columns import flag
 from tillwork.session import checkpointed
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits
@@ -108,11 +111,10 @@ def with_approximate_tiles(df: DataFrame, orders: dict[str, tuple[str, bool]],
     steps = [i / tiles for i in range(1, tiles)]
     cuts = df.agg(F.struct(*(F.percentile_approx(column, steps, accuracy).alias(name)
                              for name, (column, _) in orders.items())).alias("cuts")).scalar()
+    df = df.withColumn("_cuts", cuts)
     for name, (column, descending) in orders.items():
-        value, points = F.col(column), cuts[name]
-        if descending:
-            passed = F.size(F.filter(points, lambda p: value < p))
-        else:
-            passed = F.size(F.filter(points, lambda p: value > p))
+        value, points = F.col(column), F.col("_cuts")[name]
+        passed = reduce(add, (flag(value < points[i] if descending else value > points[i])
+                              for i in range(tiles - 1)))
         df = df.withColumn(name, (passed + 1).cast("int"))
-    return df
+    return df.drop("_cuts")

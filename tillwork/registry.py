@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.plans import explore, features, models, quality, reports
+from tillwork.plans import basics, explore, features, models, quality, reports
 from tillwork.session import prepare
 from tillwork.sources import StarShop, streams
 from tillwork.streaming import jobs, rollups, sinks
@@ -234,6 +234,25 @@ def _models() -> None:
         ["order_id", "product_id", "sale_price"])[0].agg(F.count(F.lit(1)).alias("train_rows")))
 
 
+# --- single operators ----------------------------------------------------------------------
+
+def _operators() -> None:
+    on_shop("src02_quoted_csv", basics.quoted_csv)
+    on_shop("src03_sql_views", basics.sql_views)
+    on_shop("src05_json_decode", basics.json_decode)
+    on_shop("prj02_clean_timestamp", basics.clean_timestamps)
+    on_shop("prj03_delivery_days", basics.delivery_days)
+    on_shop("prj05_status_flags", basics.status_flags)
+    on_shop("prj07_age_band", basics.age_bands)
+    on_shop("prj09_item_margins", basics.item_margins)
+    on_shop("agg12_quartiles", basics.quartiles)
+    on_shop("agg16_approximate_distinct", basics.approximate_buyers)
+    on_shop("fn_scalar_functions", basics.scalar_functions)
+    on_shop("q1_monthly_growth_every_month", lambda s: reports.monthly_growth(s, every_month=True))
+    on_shop("q7_rfm_segments_approximate", lambda s: reports.rfm_segments(s, tiles="approximate"))
+
+
+_operators()
 _reports()
 _explore()
 _quality()

@@ -231,23 +231,21 @@ def revenue_dashboard(messages: DataFrame, length: str = "2 minutes",
 
 # --- outliers ---------------------------------------------------------------------------
 
-def price_limits(history: DataFrame) -> DataFrame:
-    """Mean plus three deviations of the price, per status, of past orders."""
+def price_limit(history: DataFrame) -> Column:
+    """Mean plus three deviations of the price of past orders, as a scalar."""
     price = F.col("sale_price").cast("double")
-    return history.groupBy("status").agg(
-        (F.avg(price) + OUTLIER_DEVIATIONS * F.stddev_samp(price)).alias("price_limit"))
+    return history.agg(F.avg(price) + OUTLIER_DEVIATIONS * F.stddev_samp(price)).scalar()
 
 
 def outlier_orders(messages: DataFrame, history: DataFrame) -> DataFrame:
-    """Orders above their status' price limit, or with too many items.
+    """Orders priced far above the stored history, or with too many items.
 
-    The limits come from a stored table (one row per status), so the same function serves
-    a stream.
+    The limit is one number from a stored table, so the same function serves a stream.
     """
-    limited = messages.join(price_limits(history), "status", "left")
     price, items = F.col("sale_price"), F.col("num_of_item")
-    high = F.coalesce(price.cast("double") > F.col("price_limit"), F.lit(False))
-    many = F.coalesce(items > OUTLIER_ITEMS, F.lit(False))
-    return limited.filter(high | many).select(
+    judged = messages.withColumn("_limit", price_limit(history)).withColumns({
+        "high_price": F.coalesce(price.cast("double") > F.col("_limit"), F.lit(False)),
+        "many_items": F.coalesce(items > OUTLIER_ITEMS, F.lit(False))})
+    return judged.filter("high_price OR many_items").select(
         "order_id", "status", price.cast("double").alias("sale_price"), "num_of_item",
-        high.alias("high_price"), many.alias("many_items"))
+        "high_price", "many_items")
