@@ -68,6 +68,7 @@ def run_until_stopped(spark: SparkSession,
                       starters: Sequence[Callable[[], StreamingQuery]]) -> None:
     """Start every query and wait; when one ends or fails, stop them all."""
     running: list[StreamingQuery] = []
+    spark.streams.resetTerminated()  # a query that ended earlier must not end the wait
     try:
         for start in starters:
             running.append(start())
