@@ -235,3 +235,29 @@ def test_empty_roll_ups(spark):
     revenue = spark.createDataFrame([], "gross_revenue double, gross_margin double")
     got = rollups.key_figures(orders, funnel, state, revenue).first()
     assert tuple(got) == (0.0, 0.0, 0, 0, 0, 0.0)
+
+
+def test_application_runs_all_four_jobs(spark, tmp_path):
+    from tillwork.streaming import app
+    topics = {kind: Topic(spark, tmp_path / kind, fields) for kind, fields in app.FIELDS.items()}
+    topics["orders"].send(order(1, 5), order(2, 9000))
+    topics["events"].send(event(1, 5, "home", "a"), event(2, 9000, "home", "b"))
+    topics["inventory"].send(stock(1, 5, 3))
+    topics["revenue"].send({"order_id": 1, "category": "Jeans", "traffic_source": "Email", "total_revenue": 9.0,
+                            "total_margin": 3.0, "created_at": iso(5)},
+                           {"order_id": 2, "category": "Jeans", "created_at": iso(9000)})
+    base = str(tmp_path / "base")
+    begin = app.starters(lambda kind: topics[kind].stream(), base, str(tmp_path / "state"), every=None, bases=True)
+    assert len(begin) == 7
+    for query in [start() for start in begin]:
+        query.awaitTermination()
+    assert len(app.starters(lambda kind: topics[kind].stream(), base, base, consoles=True)) == 8
+    orders, funnel, revenue = (streams.read_back(spark, f"{base}/{name}") for name in app.WINDOWED)
+    state = streams.latest_snapshot(spark, f"{base}/inventory_alert")
+    assert orders.count() == 1 and funnel.count() == 4 and revenue.count() == 4 and state.count() == 1
+    minutes, sales, visitors = (streams.read_back(spark, f"{base}/{name}") for name in app.BASES)
+    figures = rollups.key_figures(orders, minutes, state, sales).first()
+    assert (figures["revenue"], figures["orders"], figures["out_of_stock"], figures["visitors"]) == (9.0, 1, 0, 1)
+    assert [tuple(r) for r in rollups.distinct_visitors_by_source(visitors).collect()] == [("Search", 1)]
+    dated = spark.read.parquet(f"{base}/order_anomaly").filter("window_date = DATE'2024-01-01'")
+    assert "PartitionFilters: [isnotnull(window_date" in dated._jdf.queryExecution().executedPlan().toString()

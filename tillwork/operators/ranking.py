@@ -54,8 +54,9 @@ def average_rank(measure: str) -> Column:
     return ahead + (ties - 1) / F.lit(2.0)
 
 
-def with_places(df: DataFrame, orders: dict[str, Sequence[Column]]) -> DataFrame:
-    """Add each row's exact 0-based place in one or more total orders.
+def with_places(df: DataFrame, orders: dict[str, Sequence[Column]],
+                total: str | None = None) -> DataFrame:
+    """Add each row's exact 0-based place in one or more total orders, and the row count.
 
     A plain ``row_number`` without partitions would sort all rows in one task. Here every
     order is a range-partitioned sort; ``monotonically_increasing_id`` then tells partition
@@ -66,6 +67,8 @@ def with_places(df: DataFrame, orders: dict[str, Sequence[Column]]) -> DataFrame
     for name, order in orders.items():
         ids = ids.orderBy(*order).withColumn(f"_id_{name}", F.monotonically_increasing_id())
     ids = checkpointed(ids)
+    if total:
+        ids = ids.withColumn(total, ids.agg(F.count(F.lit(1))).scalar())
     for name in orders:
         part = F.shiftrightunsigned(f"_id_{name}", ROW_BITS)
         row = F.col(f"_id_{name}").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
@@ -94,11 +97,10 @@ def tile_of(place: Column, total: Column, tiles: int) -> Column:
 
 def with_tiles(df: DataFrame, orders: dict[str, Sequence[Column]], tiles: int) -> DataFrame:
     """Exact NTILE columns over the whole frame, without gathering it in one task."""
-    placed = with_places(df, {f"_place_{name}": order for name, order in orders.items()})
-    total = placed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    for name in orders:
-        placed = placed.withColumn(name, tile_of(F.col(f"_place_{name}"), total, tiles))
-    return placed.drop(*(f"_place_{name}" for name in orders))
+    placed = with_places(df, {f"_place_{name}": order for name, order in orders.items()}, "_rows")
+    tiled = placed.withColumns({
+        name: tile_of(F.col(f"_place_{name}"), F.col("_rows"), tiles) for name in orders})
+    return tiled.drop("_rows", *(f"_place_{name}" for name in orders))
 
 
 def with_approximate_tiles(df: DataFrame, orders: dict[str, tuple[str, bool]],

@@ -120,15 +120,12 @@ def brand_returns(shop: Shop) -> DataFrame:
     Items are counted per product first: the same shuffle serves the join with products.
     The category mean is unweighted: each brand counts once.
     """
-    per_product = shop.items("product_id", "status", "sale_price").groupBy("product_id").agg(
+    per_product = shop.items("product_id", "status").groupBy("product_id").agg(
         F.count(F.lit(1)).alias("sold"),
-        F.sum(flag(F.col("status") == RETURNED)).alias("returned"),
-        F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("value"),
-        F.count("sale_price").alias("priced"))
+        F.sum(flag(F.col("status") == RETURNED)).alias("returned"))
     brands = shop.products("product_id", "brand", "category").filter(F.col("brand").isNotNull())
     per_brand = per_product.join(brands, "product_id").groupBy("brand", "category").agg(
-        F.sum("sold").alias("total_sold"), F.sum("returned").alias("total_returned"),
-        F.sum("value").alias("value"), F.sum("priced").alias("priced"))
+        F.sum("sold").alias("total_sold"), F.sum("returned").alias("total_returned"))
     rates = per_brand.withColumn(
         "return_rate_pct", rounded(percent(F.col("total_returned"), F.col("total_sold"))))
     # One row per brand by now, so a category's rows are few.
@@ -140,7 +137,6 @@ def brand_returns(shop: Shop) -> DataFrame:
         "category_avg_return_rate",
         rounded(F.col("return_rate_pct") - F.col("category_avg_return_rate"))
         .alias("diff_from_avg"),
-        rounded(mean(F.col("value"), F.col("priced"))).alias("avg_sale_price"),
         against_average(F.col("return_rate_pct"), F.col("category_avg_return_rate"))
         .alias("performance_flag"),
     ).orderBy("category", F.desc("return_rate_pct"), "brand")

@@ -150,19 +150,22 @@ def star_inventory_messages(events: DataFrame) -> DataFrame:
 
 def star_revenue_messages(events: DataFrame) -> DataFrame:
     """Cost is a share of the price that differs by event, so margins vary."""
-    user, price = F.col("user_id"), as_money(hundredths(F.col("value")), 2)
-    items = (F.get_json_object("props", "$.k").cast("int") % 3 + 1)
-    cost = price * (F.lit(50) + F.col("event_id") % 40).cast("decimal(4,0)") / 100
-    cost = cost.cast("decimal(18,4)")
-    margin = (price - cost).cast("decimal(18,4)")
+    user, cents = F.col("user_id"), hundredths(F.col("value"))
+    items = F.get_json_object("props", "$.k").cast("int") % 3 + 1
+    share = F.lit(50) + F.col("event_id") % 40
+    # In units of a hundredth of a cent
+    price, cost, margin = cents * 100, cents * share, cents * (F.lit(100) - share)
+
+    def money(units):
+        return as_money(units, 4)
+
     return events.select(
         F.col("event_id").alias("order_id"), "user_id", user.alias("product_id"),
         _pick_by(user, CATEGORIES).alias("category"),
         F.concat(F.lit("Brand "), (user % 7).cast("string")).alias("brand"),
         _pick_by(F.col("event_id"), SOURCES).alias("traffic_source"),
-        price.cast("decimal(18,4)").alias("sale_price"), cost.alias("cost"),
-        margin.alias("gross_margin"), items.alias("num_of_item"),
-        (price * items).cast("decimal(18,4)").alias("total_revenue"),
-        (cost * items).cast("decimal(18,4)").alias("total_cost"),
-        (margin * items).cast("decimal(18,4)").alias("total_margin"),
+        money(price).alias("sale_price"), money(cost).alias("cost"),
+        money(margin).alias("gross_margin"), items.alias("num_of_item"),
+        money(price * items).alias("total_revenue"), money(cost * items).alias("total_cost"),
+        money(margin * items).alias("total_margin"),
         to_iso_instant(F.col("ts")).alias("created_at"))
