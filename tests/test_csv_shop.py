@@ -1,7 +1,5 @@
 """Reports over the shop's own CSV files, with the odd cases that stored tables lack."""
 
-import pytest
-from pyspark.sql import functions as F
 
 from tillwork.plans import explore, features, quality, reports
 
