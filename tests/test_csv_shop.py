@@ -1,6 +1,5 @@
 """Reports over the shop's own CSV files, with the odd cases that stored tables lack."""
 
-
 from tillwork.plans import explore, features, quality, reports
 
 
