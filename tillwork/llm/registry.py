@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import packing, sharding
+from tillwork.llm import lines, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,3 +31,9 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, folder, "documents"))
     return packing.pack(pieces).select(
         packing.F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op4_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_classes(table(spark, folder, "documents")).selectExpr(
+        "id as doc_id", "no as line_no", "first_id as first_doc_id", "first_no as first_line_no", "kept")
