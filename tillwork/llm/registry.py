@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import lines, packing, sharding
+from tillwork.llm import licences, lines, packing, sharding, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,3 +37,11 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op4_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_classes(table(spark, folder, "documents")).selectExpr(
         "id as doc_id", "no as line_no", "first_id as first_doc_id", "first_no as first_line_no", "kept")
+
+
+@query
+def op8_licence_notices(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licence_notices(table(spark, folder, "documents"))
+
+
+SQL["op8_licence_notices"] = sql.LICENCES
