@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import licences, lines, packing, sharding, sql
+from tillwork.llm import language, licences, lines, packing, quality, sharding, sql, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +45,23 @@ def op8_licence_notices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op8_licence_notices"] = sql.LICENCES
+
+
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, folder, "labels")))
+
+
+@query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.fit_languages(docs))
+
+
+@query
+def op2_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"), cosine=0.98)
+
+
+SQL["op2_near_vectors"] = sql.VECTORS

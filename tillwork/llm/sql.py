@@ -37,3 +37,16 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY row, kind, place ORDER BY d
 SELECT doc_id, kind, CAST(place AS INTEGER) AS place, CAST(n AS INTEGER) AS n_bigrams, licence,
        round(CAST(dice AS DOUBLE), 6) AS dice FROM ranked WHERE k = 1
 """
+
+VECTORS = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND x.vec_id <> y.vec_id
+          WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+reached(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings
+                           UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, min(other) AS component_id,
+       e.vec_id = min(other) AS kept
+FROM embeddings e JOIN reached r USING (vec_id) GROUP BY e.vec_id
+"""
