@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import language, licences, lines, packing, quality, sharding, sql, vectors
+from tillwork.llm import forest, language, licences, lines, packing, quality, sharding, sql, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op2_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op2_near_vectors"] = sql.VECTORS
+
+
+@query
+def op5_similar_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.similar_texts(table(spark, folder, "documents"))
