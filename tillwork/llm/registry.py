@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import forest, language, licences, lines, packing, quality, sharding, sql, vectors
+from tillwork.llm import (decontamination, forest, language, licences, lines, packing, quality, sharding,
+                          sql, vectors)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -70,3 +71,8 @@ SQL["op2_near_vectors"] = sql.VECTORS
 @query
 def op5_similar_texts(spark: SparkSession, folder: str) -> DataFrame:
     return forest.similar_texts(table(spark, folder, "documents"))
+
+
+@query
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
