@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import (decontamination, forest, language, licences, lines, packing, quality, sharding,
-                          sql, vectors)
+from tillwork.llm import (decontamination, forest, language, licences, lines, packing, quality, repeats,
+                          sharding, sql, vectors)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op5_similar_texts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents"), length=100)
