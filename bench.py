@@ -24,7 +24,8 @@ HEADLINE = [
     "e52_category_margin", "e55_category_by_gender", "e63_delivery_by_country",
     "e64_delivery_correlation", "dq03_nulls", "dq05_key_duplicates", "dq07_ranges",
     "s1_order_anomaly", "s2_traffic_funnel", "s3_inventory_state", "s4_revenue_dashboard",
-    "s4_revenue_dashboard_stream", "r5_key_figures", "p1_item_features", "m2_customer_clusters",
+    "s4_revenue_dashboard_stream", "r5_key_figures", "p1_item_features", "p2_return_vectors", "p4_price_vectors",
+    "m1_return_prediction", "m2_customer_clusters", "m3_price_prediction", "e54_double_risk",
 ]
 
 

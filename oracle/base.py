@@ -2,7 +2,7 @@
 
 RELATIONS = {
     "v_lines": """
-  SELECT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS inventory_item_id,
+  SELECT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS inventory_item_id, l_linenumber AS item_no,
     CASE WHEN l_returnflag = 'R' THEN 'Returned'
          WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Complete'
          WHEN l_returnflag = 'A' THEN 'Shipped'

@@ -11,6 +11,10 @@ def div(a: str, b: str) -> str:
     return f"({d(a)} / nullif({d(b)}, 0))"
 
 
+def in_share(per_mille: int, text: str = "concat_ws('|', order_id, item_no)") -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS UBIGINT) % 1000 < {per_mille}"
+
+
 def r6(x: str) -> str:
     return r(x, 6)
 
@@ -204,4 +208,11 @@ SELECT l_partkey AS product_id, o_orderdate AS created_at,
     / 86400.0::DOUBLE AS days_to_sell,
   CAST(l_linestatus = 'F' AS INTEGER) AS is_sold
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN v_products ON product_id = l_partkey""",
+    "e14_price_sample": f"""WITH {rel('v_items')}
+SELECT sale_price FROM v_items WHERE {in_share(100)} AND sale_price IS NOT NULL""",
+    "e63_delivery_sample": f"""WITH {rel('v_items')}, t AS (
+  SELECT date_diff('second', shipped_at, delivered_at) / 86400.0 AS days FROM v_items WHERE {in_share(50)})
+SELECT {d('days')} AS days FROM t WHERE days > 0 AND days < 60""",
+    "fil16_train_share": f"""WITH {rel('v_items')}
+SELECT count(*) AS train_rows FROM v_items WHERE {in_share(800, "concat_ws('|', order_id, product_id, sale_price)")}""",
 }

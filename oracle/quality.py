@@ -27,7 +27,7 @@ def _nulls(table: str, source: str, column: str) -> str:
 
 def _dup(table: str, source: str, key: str) -> str:
     return f"""SELECT '{table}' AS "table", '{key}' AS key, count(*) AS total,
-  count(DISTINCT {key}) AS "unique", count(*) - count(DISTINCT {key}) AS duplicates FROM {source}"""
+  count(DISTINCT ({key})) AS "unique", count(*) - count(DISTINCT ({key})) AS duplicates FROM {source}"""
 
 
 def _range(name: str, source: str, expr: str, bad: str, points: bool) -> str:
@@ -67,7 +67,7 @@ SQL = {
     "dq04_nulls_by_status": f"""WITH {rel('v_items')}
 SELECT status, count(*) AS total, {BY_STATUS} FROM v_items GROUP BY 1""",
     "dq05_key_duplicates": f"WITH {rel('v_lines', 'v_orders', 'v_users', 'v_products')}\n" + " UNION ALL ".join([
-        _dup("orders", "v_orders", "order_id"), _dup("items", "v_lines", "order_id"),
+        _dup("orders", "v_orders", "order_id"), _dup("items", "v_lines", "order_id, item_no"),
         _dup("users", "v_users", "user_id"), _dup("products", "v_products", "product_id")]),
     "dq06_items_per_order": f"""WITH c AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)
 SELECT min(n) AS min_items, max(n) AS max_items, {r(f"{d('sum(n)')} / count(*)")} AS avg_items FROM c""",

@@ -122,7 +122,6 @@ S1, S2T, S4T = s1(HOUR), s2(HOUR, None, 1), s4(HOUR, None, 1)
 STAGE_ROWS = " UNION ALL ".join(
     f"SELECT {i + 1} AS position, '{s}' AS stage, CAST(sum(stage_{s}) AS BIGINT) AS sessions FROM s2"
     for i, s in enumerate(STAGES))
-BRANDS = [f"Brand {i}" for i in range(7)]
 
 
 def d8(x: str) -> str:
@@ -164,8 +163,8 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 6""",
     "r3a_stock_matrix": f"""WITH {S3},
 tb AS (SELECT brand FROM s3 GROUP BY 1 ORDER BY sum(sold_quantity) DESC, brand LIMIT 5),
 tc AS (SELECT category FROM s3 GROUP BY 1 ORDER BY sum(sold_quantity) DESC, category LIMIT 7)
-SELECT category, {', '.join(f'''coalesce(min(stock_quantity) FILTER (brand = '{b}'), 0) AS "{b}"''' for b in BRANDS)}
-FROM s3 WHERE brand IN (SELECT brand FROM tb) AND category IN (SELECT category FROM tc) GROUP BY 1""",
+SELECT category, brand, min(stock_quantity) AS smallest_stock
+FROM s3 WHERE brand IN (SELECT brand FROM tb) AND category IN (SELECT category FROM tc) GROUP BY 1, 2""",
     "r3b_alert_counts": f"WITH {S3} SELECT alert_tier, count(*) AS count FROM s3 GROUP BY 1",
     "r4a_category_revenue": f"""WITH {S4T},
 x AS (SELECT category, {d8('gross_revenue')} AS rev, {d8('gross_margin')} AS mar FROM s4

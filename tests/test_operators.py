@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillwork.operators.distribution import (
-    bounded_sample, cap_outliers, column_quantiles, counted_values, histogram, moments_of_counts,
+    cap_outliers, column_quantiles, counted_values, histogram, in_share, moments_of_counts,
     share_of_total)
 from tillwork.operators.profile import domain_difference, duplicate_keys, null_report
 from tillwork.operators.ranking import (
@@ -137,8 +137,9 @@ def test_profiles(spark):
     assert sum(r["p"] for r in share.collect()) == pytest.approx(100)
 
 
-def test_bounded_sample(spark):
-    df = spark.range(1000)
-    assert bounded_sample(df, 5000, 1).count() == 1000
-    first, again = (sorted(r[0] for r in bounded_sample(df, 100, 1).collect()) for _ in range(2))
-    assert first == again and 50 < len(first) < 160
+def test_a_share_depends_on_the_row_alone(spark):
+    df = spark.range(4000)
+    chosen = {r[0] for r in df.filter(in_share(250, "id")).collect()}
+    assert 800 < len(chosen) < 1200
+    part = df.filter("id < 1000").repartition(7).filter(in_share(250, "id"))
+    assert {r[0] for r in part.collect()} == {i for i in chosen if i < 1000}

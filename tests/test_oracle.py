@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracle import all_sql
 from oracle.compare import compare, connect
 from tests.conftest import SMALL
+from tillwork.registry import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")

@@ -225,7 +225,29 @@ def test_reading_back_a_stream_without_output(spark, tmp_path):
 def test_kafka_options():
     options = streams.kafka_options("host:1", "orders")
     assert options["subscribe"] == "orders" and options["startingOffsets"] == "earliest"
-    assert (options["maxOffsetsPerTrigger"], options["failOnDataLoss"]) == ("5000", "false")
+    assert options["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in options
+    bounded = streams.kafka_options("host:1", "orders", max_offsets=7, accept_loss=True)
+    assert (bounded["maxOffsetsPerTrigger"], bounded["failOnDataLoss"]) == ("7", "false")
+
+
+def test_exact_funnel_keeps_events_without_source(spark):
+    rows = [(1, 1, "a", "home", None, "2024-01-01T00:00:00.000Z"), (2, 2, "b", "home", "X", "2024-01-01T00:00:01.000Z"),
+            (3, None, None, "cart", "X", "2024-01-01T00:00:01.000Z")]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, session_id string, event_type string, "
+                                     "traffic_source string, created_at string")
+    got = [sorted(map(tuple, jobs.traffic_funnel(df, "1 hour", None, distinct=kind).select(
+        F.coalesce("traffic_source", F.lit("-")), "total_events", "total_sessions", "unique_users", "stage_home").collect()))
+        for kind in ("exact", "approx")]
+    assert got[0] == got[1] == [("-", 1, 1, 1, 1), ("X", 2, 1, 1, 1)]
+
+
+def test_streams_read_a_table_of_several_files(spark, tmp_path):
+    from tests.conftest import SMALL
+    from tillwork.registry import QUERIES
+    spark.read.parquet(f"{SMALL}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    want = QUERIES["s1_order_anomaly_stream"](spark, SMALL)
+    got = QUERIES["s1_order_anomaly_stream"](spark, str(tmp_path))
+    assert got.count() > 0 and got.columns == want.columns
 
 
 def test_empty_roll_ups(spark):

@@ -160,7 +160,10 @@ def box_plot(value: str) -> list[Column]:
             F.max(value).alias("high")]
 
 
-def bounded_sample(df: DataFrame, rows: int, seed: int) -> DataFrame:
-    """About ``rows`` rows, or all of them if there are fewer; reproducible."""
-    fraction = min(1.0, rows / max(df.count(), 1))
-    return df.sample(fraction=fraction, seed=seed)
+def in_share(per_mille: int, *keys: str) -> Column:
+    """A fixed share of the rows, chosen by the md5 of their keys.
+
+    The choice depends on the row alone: not on the table's size, its partitions or a seed.
+    """
+    digits = F.substring(F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys))), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % 1000 < per_mille

@@ -41,12 +41,15 @@ def null_report(tables: dict[str, DataFrame]) -> DataFrame:
             .orderBy("table", F.desc("null_count"), "column"))
 
 
-def duplicate_keys(keys: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows, distinct keys and surplus rows of each table."""
-    def check(name: str, df: DataFrame, key: str) -> DataFrame:
+def duplicate_keys(keys: dict[str, tuple[DataFrame, str | Sequence[str]]]) -> DataFrame:
+    """Rows, distinct keys (of one column or several) and surplus rows of each table."""
+    def check(name: str, df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+        if not isinstance(key, str):
+            name_of_key = ", ".join(key)
+            df, key = df.select(F.struct(*key).alias(name_of_key)), name_of_key
         return df.agg(F.count(F.lit(1)).alias("total"),
-                      F.countDistinct(F.col(key)).alias("distinct_keys"),
-                      F.count(F.when(F.col(key).isNull(), 1)).alias("_null")).select(
+                      F.countDistinct(F.col(f"`{key}`")).alias("distinct_keys"),
+                      F.count(F.when(F.col(f"`{key}`").isNull(), 1)).alias("_null")).select(
             F.lit(name).alias("table"), F.lit(key).alias("key"), "total",
             # A null key counts as one more value.
             (F.col("distinct_keys") + F.least("_null", F.lit(1))).alias("unique"))

@@ -84,6 +84,26 @@ def with_places(df: DataFrame, orders: dict[str, Sequence[Column]],
     return ids.drop(*(f"_id_{name}" for name in orders))
 
 
+def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str]) -> DataFrame:
+    """Add ``name: column`` running sums in a total order, and ``name_all`` with the whole sum.
+
+    A range-partitioned sort fixed by a reliable checkpoint; partitions add up on their own and
+    start from the sums of those before, one small row each.
+    """
+    ids = checkpointed(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    ids = ids.withColumn("_part", F.shiftrightunsigned("_id", ROW_BITS))
+    parts = ids.groupBy("_part").agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    starts = parts.select("_part", *(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_from_{n}") for n in sums),
+                          *(F.sum(f"_sum_{n}").over(every).alias(f"{n}_all") for n in sums))
+    inside = Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per partition of a sort: bounded by spark.sql.shuffle.partitions.
+    return (ids.join(F.broadcast(starts), "_part")
+            .withColumns({n: F.sum(c).over(inside) + F.col(f"_from_{n}") for n, c in sums.items()})
+            .drop("_id", "_part", *(f"_from_{n}" for n in sums)))
+
+
 def tile_of(place: Column, total: Column, tiles: int) -> Column:
     """NTILE from a 0-based place: the first ``total % tiles`` tiles hold one row more."""
     small = F.floor(total / tiles)

@@ -18,7 +18,7 @@ from tillwork.functions.columns import (
     correlation_verdict, flag, margin_pct, mean, percent, position_in, profit, ratio,
     risk_quadrant, rounded, seconds_between)
 from tillwork.operators.distribution import (
-    bounded_sample, column_quantiles, counted_values, histogram, moments_of_counts, share_of_max,
+    column_quantiles, counted_values, histogram, in_share, moments_of_counts, share_of_max,
     share_of_total)
 from tillwork.operators.ranking import average_rank
 from tillwork.operators.shape import in_order, spread
@@ -100,9 +100,10 @@ def price_histogram(shop: Shop, bins: int = 60, cap: float | None = 0.99) -> Dat
     return histogram(prices, "sale_price", bins, upper)
 
 
-def price_sample(shop: Shop, rows: int = 100_000, seed: int = 42) -> DataFrame:
-    """At most about ``rows`` prices for a plot of single points."""
-    return bounded_sample(shop.items("sale_price").filter("sale_price IS NOT NULL"), rows, seed)
+def price_sample(shop: Shop, per_mille: int = 100) -> DataFrame:
+    """The prices of a share of the items, chosen by their key, for a plot of single points."""
+    priced = shop.items("order_id", "item_no", "sale_price").filter("sale_price IS NOT NULL")
+    return priced.filter(in_share(per_mille, "order_id", "item_no")).select("sale_price")
 
 
 def age_distribution(shop: Shop) -> DataFrame:
@@ -412,7 +413,8 @@ def delivery_boxes(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
     marks = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
     boxes = counts.groupBy("country").agg(
         F.sum("n").alias("count"),
-        *(F.percentile("seconds", p, F.col("n")).alias(name) for name, p in marks.items()))
+        F.percentile("seconds", F.array(*map(F.lit, marks.values())), F.col("n")).alias("cuts"))
+    boxes = boxes.select("country", "count", *(F.col("cuts")[i].alias(name) for i, name in enumerate(marks)))
     busiest = boxes.orderBy(F.desc("count"), "country").limit(top).filter(
         F.col("country").isNotNull())
     return busiest.select("country", *(rounded(_in_days(F.col(c)), DETAIL).alias(c) for c in marks)
@@ -425,11 +427,12 @@ def delivery_histogram(shop: Shop, most_days: int = 60, bins: int = 40) -> DataF
     return histogram(spans.filter((F.col("days") > 0) & (F.col("days") < most_days)), "days", bins)
 
 
-def delivery_sample(shop: Shop, most_days: int = 60, rows: int = 50_000, seed: int = 42) -> DataFrame:
-    """At most about ``rows`` delivery times for a plot of single points."""
+def delivery_sample(shop: Shop, most_days: int = 60, per_mille: int = 50) -> DataFrame:
+    """The delivery times of a share of the items, chosen by their key, for single points."""
     days = _in_days(seconds_between(F.col("shipped_at"), F.col("delivered_at")))
-    spans = shop.items("shipped_at", "delivered_at").select(days.alias("days"))
-    return bounded_sample(spans.filter((F.col("days") > 0) & (F.col("days") < most_days)), rows, seed)
+    spans = shop.items("order_id", "item_no", "shipped_at", "delivered_at").filter(
+        in_share(per_mille, "order_id", "item_no")).select(days.alias("days"))
+    return spans.filter((F.col("days") > 0) & (F.col("days") < most_days))
 
 
 def delivery_and_returns(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import RETURNED, discount_rate, flag, ratio
+from tillwork.operators.distribution import in_share
+from tillwork.operators.ranking import with_running_sums
 from tillwork.plans.features import KEYS, REQUIRED, item_master, rfm_features, rfm_stages, vector_stages
 from tillwork.session import written
 from tillwork.sources.shop import Shop
@@ -34,8 +36,6 @@ PRICE_NUMBERS = ["retail_price", "cost", "age", "discount_rate"]
 PRICE_NUMBERS_LEAK_FREE = ["retail_price", "cost", "age"]
 # ------------------------------------------------------------------------------------
 
-SCORE_BINS = 1000
-
 
 @dataclass(frozen=True)
 class Fitted:
@@ -47,8 +47,8 @@ class Fitted:
 
 def split(df: DataFrame, keys: Sequence[str], percent: int = TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the row: the same on every run and every retry."""
-    place = F.pmod(F.xxhash64(F.lit(SEED), *keys), F.lit(100))
-    return df.filter(place < percent), df.filter(place >= percent)
+    train = in_share(10 * percent, *keys)
+    return df.filter(train), df.filter(~train)
 
 
 def class_weights(train: DataFrame, label: str) -> Column:
@@ -87,22 +87,17 @@ def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) ->
     return Fitted(model, scored, area)
 
 
-def roc_points(scored: DataFrame, label: str = "is_returned", score: str = "score",
-               bins: int = SCORE_BINS) -> DataFrame:
+def roc_points(scored: DataFrame, label: str = "is_returned", score: str = "score") -> DataFrame:
     """False and true positive rate when scores from ``threshold`` on count as positive.
 
-    Scores are counted in ``bins`` steps first, so the running sums cover that many rows only.
+    One point per distinct score; the running sums are spread over range partitions.
     """
-    step = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
-    counts = scored.groupBy(step.alias("step")).agg(
+    counts = scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(flag(F.col(label) == 1)).alias("pos"), F.sum(flag(F.col(label) != 1)).alias("neg"))
-    falling = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    return counts.select(
-        (F.col("step") / F.lit(float(bins))).alias("threshold"),
-        ratio(F.sum("neg").over(falling), F.sum("neg").over(everything)).alias("fpr"),
-        ratio(F.sum("pos").over(falling), F.sum("pos").over(everything)).alias("tpr"),
-    ).orderBy(F.desc("threshold"))
+    running = with_running_sums(counts, [F.desc("threshold")], {"above_pos": "pos", "above_neg": "neg"})
+    return running.select(
+        "threshold", ratio(F.col("above_neg"), F.col("above_neg_all")).alias("fpr"),
+        ratio(F.col("above_pos"), F.col("above_pos_all")).alias("tpr")).orderBy(F.desc("threshold"))
 
 
 def cluster_customers(shop: Shop, k: int = CLUSTERS) -> Fitted:
@@ -132,9 +127,9 @@ def predict_prices(shop: Shop, leak_free: bool = False, depth: int = BOOST_DEPTH
     return Fitted(model, predicted, error)
 
 
-def plot_sample(predictions: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
-    """A reproducible share of the rows, for a scatter plot."""
-    return predictions.sample(fraction=fraction, seed=seed)
+def plot_sample(predictions: DataFrame, per_mille: int, key: str) -> DataFrame:
+    """A share of the rows, chosen by their key, for a scatter plot."""
+    return predictions.filter(in_share(per_mille, key))
 
 
 def return_report(shop: Shop) -> DataFrame:

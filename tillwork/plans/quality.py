@@ -47,7 +47,7 @@ def nulls_by_status(shop: Shop) -> DataFrame:
 def key_duplicates(shop: Shop) -> DataFrame:
     return duplicate_keys({
         "orders": (shop.orders("order_id"), "order_id"),
-        "items": (shop.items("order_id"), "order_id"),
+        "items": (shop.items(*shop.item_key), shop.item_key),
         "users": (shop.users("user_id"), "user_id"),
         "products": (shop.products("product_id"), "product_id")})
 

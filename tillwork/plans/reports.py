@@ -90,7 +90,7 @@ def top_customers(shop: Shop, k: int = 5, statuses: Sequence[str] = SOLD) -> Dat
     Items are added up per order before they meet the orders, and per customer before they
     meet the customers. An order is one row by then, so orders are counted, not deduplicated.
     """
-    per_order = shop.order_totals(
+    per_order = shop.order_totals(known_orders=True, metrics=
         [F.count(F.lit(1)).alias("n_items"),
          F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("spent")], statuses=statuses)
     per_user = per_order.groupBy("user_id").agg(
@@ -293,17 +293,17 @@ def center_summary(delivery: DataFrame) -> DataFrame:
         F.sum("total_items").alias("total_items")).orderBy("distribution_center")
 
 
-def center_matrix(delivery: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Mean return rate by center (rows) and category (columns)."""
-    return spread(delivery, "distribution_center", "category", categories,
-                  _average("return_rate_pct")).orderBy("distribution_center")
+def center_matrix(delivery: DataFrame) -> DataFrame:
+    """Mean return rate by center and category: a row per pair, pivoted only for display."""
+    return delivery.groupBy("distribution_center", "category").agg(
+        _average("return_rate_pct").alias("avg_return_rate")).orderBy("distribution_center", "category")
 
 
 # --- recency, frequency, monetary value ---------------------------------------------------
 
 def rfm_raw(shop: Shop, statuses: Sequence[str] = SOLD, as_of: str = RECENCY_DATE) -> DataFrame:
     """Days since the last order, number of orders and spend of each buyer."""
-    per_order = shop.order_totals(
+    per_order = shop.order_totals(known_orders=True, metrics=
         [F.sum(F.col("sale_price").cast("decimal(18,4)")).alias("spent")],
         statuses=statuses, fields=("user_id", "last_at"))
     per_user = per_order.groupBy("user_id").agg(

@@ -16,8 +16,6 @@ from tillwork.streaming import jobs, rollups, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The star schema's part types, the categories of every center matrix.
-CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def on_shop(name: str, build: Callable[[StarShop], DataFrame]) -> None:
@@ -44,7 +42,7 @@ def _reports() -> None:
     on_shop("q6_delivery_by_center", reports.delivery_by_center)
     on_shop("q6b_center_summary", lambda s: reports.center_summary(reports.delivery_by_center(s)))
     on_shop("q6b_center_matrix",
-            lambda s: reports.center_matrix(reports.delivery_by_center(s), CATEGORIES))
+            lambda s: reports.center_matrix(reports.delivery_by_center(s)))
     on_shop("q7_rfm_segments", reports.rfm_segments)
     on_shop("q7_rfm_segments_standard", lambda s: reports.rfm_segments(s, scoring="standard"))
     on_shop("q7b_segment_summary", lambda s: reports.segment_summary(reports.rfm_segments(s)))
@@ -103,7 +101,6 @@ def _quality() -> None:
 # --- streams: the events table, replayed as the four topics -------------------------------
 # An event comes every few minutes there, so the windows are hours instead of minutes.
 HOUR, HOURS, HALF = "1 hour", "2 hours", "30 minutes"
-BRANDS = [f"Brand {i}" for i in range(7)]
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -134,7 +131,8 @@ def _revenue(s: StarShop, length: str = HOUR, slide: str | None = None) -> DataF
 
 
 def _replayed(s: StarShop) -> DataFrame:
-    return streams.replay(s.spark, s.folder, s.table("events").schema, "events.parquet")
+    # A pattern, since a stream of one fixed path must be a folder; the table may also be a file.
+    return streams.replay(s.spark, f"{s.folder}/events.parque[t]", s.table("events").schema)
 
 
 def _appended(s: StarShop, name: str, result: DataFrame) -> DataFrame:
@@ -191,7 +189,7 @@ def _streams() -> None:
     on_shop("r2b_visitors_by_source", lambda s: rollups.visitors_by_source(_funnel(s)))
     on_shop("r2b_distinct_visitors_sketch", lambda s: rollups.distinct_visitors_by_source(
         jobs.visitor_sketches(streams.star_web_events(s.table("events")), HOUR)))
-    on_shop("r3a_stock_matrix", lambda s: rollups.stock_matrix(_stock(s), BRANDS))
+    on_shop("r3a_stock_matrix", lambda s: rollups.stock_matrix(_stock(s)))
     on_shop("r3b_alert_counts", lambda s: rollups.alert_counts(_stock(s)))
     on_shop("r4a_category_revenue", lambda s: rollups.category_revenue(_revenue(s)))
     on_shop("r4b_margin_trend", lambda s: shown(rollups.margin_trend(_revenue(s))))
@@ -228,7 +226,7 @@ def _models() -> None:
     on_shop("m3_price_prediction", models.price_report)
     on_shop("m3_price_prediction_leak_free", lambda s: models.price_report(s, leak_free=True))
     on_shop("fil15_cluster_sample", lambda s: models.plot_sample(
-        models.cluster_customers(s).predictions.select("recency", "monetary", "cluster"), 0.2))
+        models.cluster_customers(s).predictions.select("user_id", "recency", "monetary", "cluster"), 200, "user_id"))
     on_shop("fil16_train_share", lambda s: models.split(
         s.items("order_id", "product_id", "sale_price"),
         ["order_id", "product_id", "sale_price"])[0].agg(F.count(F.lit(1)).alias("train_rows")))

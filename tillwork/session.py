@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +43,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session (tests) may fall back to a temporary folder of its own.
+    A session that names none uses a folder of its own below the warehouse, which is shared, too.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tillwork-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -8,7 +8,7 @@ nobody asked for is never planned.
 =====================  ==================================================================
 relation               columns
 =====================  ==================================================================
-``items``              order_id, product_id, inventory_item_id, status, sale_price,
+``items``              order_id, item_no (the item's id, or its line in the order), product_id, inventory_item_id, status, sale_price,
                        quantity, user_id, created_at, shipped_at, delivered_at,
                        returned_at; also order_status and ordered_at, looked up from the
                        order, and gender, age, country and traffic_source, from the buyer
@@ -40,6 +40,9 @@ from tillwork.functions.columns import as_money, clean_timestamp, hundredths, mo
 class Shop(ABC):
     """Access to the relations; see the module documentation for their columns."""
 
+    #: What tells items apart.
+    item_key: tuple[str, ...] = ("order_id", "item_no")
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
@@ -77,10 +80,13 @@ class Shop(ABC):
 
     @abstractmethod
     def order_totals(self, metrics: Sequence[Column], statuses: Sequence[str] | None = None,
-                     fields: Sequence[str] = ("user_id",)) -> DataFrame:
+                     fields: Sequence[str] = ("user_id",), known_orders: bool = False) -> DataFrame:
         """Item metrics added up per order, with ``fields`` out of user_id, month
         (``yyyy-MM`` of creation) and last_at (latest creation time).
 
+        With ``known_orders``, items of an order that is not on record do not count and the
+        order says who bought; without it, items that carry their own buyer count as they are.
+
         ``metrics`` may use order_id, product_id, status, sale_price and quantity. The
         sums are formed before any join, so one huge order is combined on the map side.
         """
@@ -162,6 +168,7 @@ class StarShop(Shop):
         paid_percent = F.lit(100) - hundredths(F.col("l_discount"))
         return lines.select(
             F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("item_no"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("inventory_item_id"),
             F.coalesce(*(F.when(rule, name) for name, rule in rules.items())).alias("status"),
@@ -270,8 +277,8 @@ class StarShop(Shop):
         }).select(*columns)
 
     def order_totals(self, metrics: Sequence[Column], statuses: Sequence[str] | None = None,
-                     fields: Sequence[str] = ("user_id",)) -> DataFrame:
-        lines = self._lines(statuses)
+                     fields: Sequence[str] = ("user_id",), known_orders: bool = True) -> DataFrame:
+        lines = self._lines(statuses)  # without an order there is no buyer here
         per_order = lines.groupBy("order_id").agg(*metrics)
         heads = self.orders("order_id", "user_id", "created_at").select(
             "order_id", "user_id", month_key(F.col("created_at")).alias("month"),
@@ -286,6 +293,8 @@ class CsvShop(Shop):
     be split; ``to_parquet`` turns them into tables that can.
     """
 
+    item_key = ("item_no",)
+
     # --- Fixed values: the files' columns ------------------------------------------
     SCHEMAS = {
         "orders": "order_id long, user_id long, status string, gender string, "
@@ -341,7 +350,7 @@ class CsvShop(Shop):
 
     def items(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
         lines = self._with_times("order_items", "created_at", "shipped_at", "delivered_at",
-                                 "returned_at").withColumn("quantity", F.lit(1))
+                                 "returned_at").withColumns({"quantity": F.lit(1), "item_no": F.col("id")})
         if statuses is not None:
             lines = lines.filter(F.col("status").isin(list(statuses)))
         if {"order_status", "ordered_at"} & set(columns):
@@ -393,8 +402,12 @@ class CsvShop(Shop):
                           "retail_price"), "product_id", "left").select(*columns)
 
     def order_totals(self, metrics: Sequence[Column], statuses: Sequence[str] | None = None,
-                     fields: Sequence[str] = ("user_id",)) -> DataFrame:
+                     fields: Sequence[str] = ("user_id",), known_orders: bool = False) -> DataFrame:
         lines = self.items(statuses=statuses).withColumn("month", month_key(F.col("created_at")))
-        keys = [f for f in fields if f != "last_at"]
+        keys = [f for f in fields if f != "last_at" and not (known_orders and f == "user_id")]
         extra = [F.max("created_at").alias("last_at")] if "last_at" in fields else []
-        return lines.groupBy("order_id", *keys).agg(*metrics, *extra)
+        totals = lines.groupBy("order_id", *keys).agg(*metrics, *extra)
+        if known_orders:
+            heads = self.orders("order_id", *(["user_id"] if "user_id" in fields else []))
+            totals = totals.join(heads, "order_id")
+        return totals

@@ -28,23 +28,26 @@ REVENUE_FIELDS = (
     "country string, traffic_source string, sale_price double, cost double, "
     "gross_margin double, num_of_item int, total_revenue double, total_cost double, "
     "total_margin double, status string, created_at string")
-MAX_OFFSETS_PER_TRIGGER = 5000
 # -------------------------------------------------------------------------------------
 
 
-def kafka_options(servers: str, topic: str, max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> dict:
-    """Read from the first offset on, survive expired offsets, bound each micro-batch."""
-    return {
+def kafka_options(servers: str, topic: str, max_offsets: int | None = None,
+                  accept_loss: bool = False) -> dict:
+    """Read from the first offset on. Expired offsets are an error unless their loss is accepted;
+    a limit per micro-batch is the caller's choice, since a low one makes the reader fall behind."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(max_offsets),
+        "failOnDataLoss": "false" if accept_loss else "true",
     }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    return options
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, fields: str,
-               max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+               max_offsets: int | None = None) -> DataFrame:
     """A Kafka topic of JSON messages as columns (needs the Kafka connector package)."""
     raw = (spark.readStream.format("kafka")
            .options(**kafka_options(servers, topic, max_offsets)).load())

@@ -44,7 +44,7 @@ Source = Callable[[str], DataFrame]
 
 
 def kafka(spark: SparkSession, servers: str, topics: dict[str, str] | None = None,
-          max_offsets: int = streams.MAX_OFFSETS_PER_TRIGGER) -> Source:
+          max_offsets: int | None = None) -> Source:
     """Messages of one of the four kinds, read from its topic."""
     names = topics or TOPICS
     return lambda kind: streams.read_topic(spark, servers, names[kind], FIELDS[kind], max_offsets)

@@ -112,15 +112,11 @@ def traffic_funnel(messages: DataFrame, length: str = "2 minutes", slide: str |
                                     "user_id").agg(
             F.count("event_id").alias("events"),
             *(F.max(flag(kind == s)).alias(f"stage_{s}") for s in FUNNEL_STAGES))
-        whole = per_session.groupBy("w", "traffic_source", "session_id").agg(
-            F.sum("events").alias("events"), *(F.max(c).alias(c) for c in stages))
-        sessions = whole.groupBy("w", "traffic_source").agg(
-            F.sum("events").alias("total_events"), F.count("session_id").alias("total_sessions"),
-            *(F.sum(F.when(F.col("session_id").isNotNull(), F.col(c)).otherwise(0)).alias(c)
-              for c in stages))
-        users = per_session.groupBy("w", "traffic_source").agg(
+        session, none = F.col("session_id"), F.lit(None)
+        counted = per_session.groupBy("w", "traffic_source").agg(
+            F.sum("events").alias("total_events"), F.countDistinct(session).alias("total_sessions"),
+            *(F.countDistinct(F.when(F.col(c) == 1, session).otherwise(none)).alias(c) for c in stages),
             F.countDistinct("user_id").alias("unique_users"))
-        counted = sessions.join(users, ["w", "traffic_source"])
     return _labelled(counted, "traffic_funnel", "traffic_source", "total_events", "total_sessions",
                      *stages, "unique_users", *_funnel_rates())
 

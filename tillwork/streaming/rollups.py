@@ -67,17 +67,17 @@ def distinct_visitors_by_source(sketches: DataFrame, n: int = 6) -> DataFrame:
             .orderBy(F.desc("unique_users"), "traffic_source").limit(n))
 
 
-def stock_matrix(state: DataFrame, brands: Sequence[str], top_brands: int = 5,
-                 top_categories: int = 7) -> DataFrame:
-    """Smallest stock by category and brand, of the best-selling of both.
+def stock_matrix(state: DataFrame, top_brands: int = 5, top_categories: int = 7) -> DataFrame:
+    """Smallest stock by category and brand, of the best-selling of both: a row per pair.
 
-    ``brands`` declares the columns; those outside the top stay 0.
+    A pair without stock records has no row, so it cannot be taken for an empty shelf.
     """
     def sold(key: str) -> DataFrame:
         return state.groupBy(key).agg(F.sum("sold_quantity").alias("sold"))
     kept = members_of_top(state, "brand", sold("brand"), "sold", top_brands)
     kept = members_of_top(kept, "category", sold("category"), "sold", top_categories)
-    return spread(kept, "category", "brand", brands, F.min("stock_quantity"), fill=0).orderBy("category")
+    return (kept.groupBy("category", "brand").agg(F.min("stock_quantity").alias("smallest_stock"))
+            .orderBy("category", "brand"))
 
 
 def alert_counts(state: DataFrame) -> DataFrame:
