@@ -65,7 +65,7 @@ def _verifier(threshold: float):
     def links(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("side", kind="stable").reset_index(drop=True)
         split = int((group["side"] == 0).sum())
-        alone = split == len(group)
+        alone = bool((group["a"] == group["b"]).all())  # a chunk with itself
         keys = np.array(group["keys"].tolist(), dtype="int64").reshape(len(group), -1)
         sets = [np.asarray(s, dtype="int64") for s in group["shingles"]]
         sizes, copies = np.array([len(s) for s in sets]), group["copies"].to_numpy()

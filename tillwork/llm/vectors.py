@@ -129,7 +129,7 @@ def _linker(cosine: float, reach: float, width: int, leaf: int = 128):
         unit, near = _units(group["embedding"], width), np.array(group["near"].tolist())
         length, weight = group["length"].to_numpy(), group["copies"].to_numpy()
         split = int((group["side"] == 0).sum())
-        alone = split == len(group)  # a block with itself
+        alone = bool((group["a"] == group["b"]).all())  # a block with itself
         total, parent = np.zeros(len(group), "int64"), np.arange(len(group))
 
         def root(i: int) -> int:
