@@ -59,6 +59,8 @@ def _with_one(x: np.ndarray) -> np.ndarray:
 
 def class_prior(p: np.ndarray, u: np.ndarray, turns: int = 150, penalty: float = 1e-3) -> float:
     """Share of positives in ``u``: the smallest ratio of tail shares under a P-against-U score."""
+    if min(len(p), len(u)) < 4:
+        return 0.5  # too few to tell
     half = lambda x, k: x[k::2]
     p0, u0 = _with_one(half(p, 0)), _with_one(half(u, 0))
 
