@@ -62,13 +62,35 @@ def test_quantiles_equal_brute_force(spark):
             for _ in range(2003)]
     df = spark.createDataFrame(rows, "a double, b int, c int")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    for buckets in (4, 1000):
-        got = spark.range(1).select(column_quantiles(df, ["a", "b", "c"], probs, buckets).alias("q")).first()["q"]
+    for accuracy in (8, 4096):
+        got = spark.range(1).select(column_quantiles(df, ["a", "b", "c"], probs, accuracy).alias("q")).first()["q"]
         for i, name in enumerate("abc"):
             values = [r[i] for r in rows if r[i] is not None]
             assert got[name] == [discrete(values, p) for p in probs], name
 
 
+def test_one_outlier_does_not_make_quantiles_costly(spark, monkeypatch):
+    from tillwork.operators import distribution
+    kept = []
+    monkeypatch.setattr(distribution, "written", lambda df, name, real=distribution.written: kept.append(real(df, name)) or kept[-1])
+    plain = spark.range(200_000).select((F.xxhash64("id") % 100_000 / 100).alias("v"))
+    odd = plain.unionByName(spark.createDataFrame([(1e15,), (None,)], "v double"))
+    sizes = []
+    for df in (plain, odd):
+        kept.clear()
+        got = spark.range(1).select(column_quantiles(df, ["v"], [0.25, 0.75]).alias("q")).first()["q"]["v"]
+        values = [r[0] for r in df.filter("v IS NOT NULL").collect()]
+        assert got == [discrete(values, 0.25), discrete(values, 0.75)]
+        sizes.append(sum(k.count() for k in kept))
+    assert sizes[1] <= 2 * sizes[0] and sizes[0] < 5000
+
+
+def test_quantiles_of_no_rows(spark):
+    df = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    got = spark.range(1).select(column_quantiles(df, ["a", "b"], [0.5]).alias("q")).first()["q"]
+    assert got == {"a": [None], "b": [1.0]}
+
+
 def test_capping_keeps_nulls_and_constants(spark):
     rows = [(float(x), 5.0) for x in range(1, 9)] + [(1000.0, 5.0), (-500.0, 9.0), (None, None)]
     df = spark.createDataFrame(rows, "x double, k double")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import percent, rounded
+from tillwork.operators.ranking import with_running_sums
+from tillwork.session import written
 
-BUCKETS = 1 << 14
+SKETCH = 4096  # values that a rank sketch keeps per level
+TREE = 256  # sketches that meet in the last step
 
 
 def share_of_total(count: str) -> Column:
@@ -55,67 +59,83 @@ def moments_of_counts(value: str, n: str = "n") -> dict[str, Column]:
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                     buckets: int = BUCKETS) -> Column:
-    """Exact discrete quantiles of several columns as one scalar struct.
-
-    ``result[column]`` is the array of values, in the order of ``probs``. A sketch of the
-    whole table would be merged in a single task; this takes three aggregations instead, all
-    combined on the map side: the ranges, a histogram of at most ``buckets`` bars a column,
-    and the values of only those bars that a quantile falls in.
+                     accuracy: int = SKETCH) -> Column:
+    """Exact discrete quantiles of several columns as one map of arrays (in the order of ``probs``).
+
+    Two reads. The first builds a rank sketch per group of tasks, merged as a tree; it gives a
+    pair of values around every quantile, whatever the range of the values. The second counts
+    what lies below each pair and keeps only the values inside, combined on the map side. Their
+    running sums come from a range-partitioned sort, so no task holds all of them. The driver
+    sees a few numbers per column and probability. Should a pair miss its quantile, that one is
+    looked for among all values.
     """
-    columns = list(columns)
-    spans = df.agg(F.struct(*(
-        F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"))
-        .alias(c) for c in columns)).alias("spans")).scalar()
-
-    # A scalar is put in a column once: every mention would plan its own copy.
-    spanned = df.select(*columns).withColumn("_spans", spans)
-
-    def bar(c: str) -> Column:
-        lo, hi = F.col("_spans")[c]["lo"], F.col("_spans")[c]["hi"]
-        place = F.try_divide((F.col(c).cast("double") - lo) * F.lit(buckets), hi - lo)
-        return F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(buckets - 1)).cast("int")
-
-    def long(*with_value: str) -> DataFrame:
-        cells = F.array(*(F.struct(
-            F.lit(c).alias("name"), bar(c).alias("bar"),
-            *(F.col(c).cast("double").alias(v) for v in with_value),
-            F.col(c).isNotNull().alias("known")) for c in columns))
-        return spanned.select(F.inline(cells)).filter("known").drop("known")
-
-    by_name = Window.partitionBy("name")
-    bars = long().groupBy("name", "bar").agg(F.count(F.lit(1)).alias("n")).withColumns({
-        "upto": F.sum("n").over(by_name.orderBy("bar")),
-        "total": F.sum("n").over(by_name)})
-    hits = F.transform(
-        F.array(*(F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"))
-                  for i, p in enumerate(probs))),
-        lambda q: F.struct(q["i"].alias("i"),
-                           F.greatest(rank_of(F.col("total"), q["p"]), F.lit(1)).alias("rank")))
-    # One row per column and probability.
-    targets = (bars.select("name", "bar", "upto", "n", F.explode(hits).alias("hit"))
-               .filter((F.col("hit.rank") <= F.col("upto"))
-                       & (F.col("hit.rank") > F.col("upto") - F.col("n")))
-               .select("name", "bar", F.col("hit.i").alias("i"),
-                       (F.col("hit.rank") - (F.col("upto") - F.col("n"))).alias("rank")))
-    # At most len(columns) * len(probs) rows, so the broadcast is bounded.
-    near = long("value").join(F.broadcast(targets), ["name", "bar"])
-    values = (near.groupBy("name", "i", "rank", "value").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("upto", F.sum("n").over(
-                  Window.partitionBy("name", "i").orderBy("value"))))
-    found = (values.filter(F.col("upto") >= F.col("rank"))
-             .groupBy("name", "i").agg(F.min("value").alias("value")))
-    per_column = found.groupBy("name").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))),
-                    lambda cell: cell["value"]).alias("cuts"))
-    return per_column.agg(F.map_from_entries(
-        F.collect_list(F.struct("name", "cuts")))).scalar()
+    columns, probs = list(columns), list(probs)
+    reach = 4.0 / accuracy  # several times the sketch's usual rank error
+    task = F.pmod(F.spark_partition_id(), F.lit(TREE))
+    numbers = [F.col(c).cast("double").alias(c) for c in columns]
+    sketches = df.select(*numbers).groupBy(task.alias("_task")).agg(*(
+        x for i, c in enumerate(columns)
+        for x in (F.kll_sketch_agg_double(c, accuracy).alias(f"s{i}"), F.count(c).alias(f"n{i}"))))
+    sketches = sketches.agg(*(
+        x for i in range(len(columns))
+        for x in (F.kll_merge_agg_double(F.expr(f"CASE WHEN n{i} > 0 THEN s{i} END"), accuracy).alias(f"s{i}"),
+                  F.sum(f"n{i}").alias(f"n{i}"))))
+
+    def at(i: int, shift: float) -> Column:
+        ranks = F.array(*(F.lit(min(max(p + shift, 0.0), 1.0)) for p in probs))
+        return F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", ranks))
+
+    seen = sketches.select(*(F.struct(F.col(f"n{i}").alias("n"), at(i, -reach).alias("low"),
+                                      at(i, reach).alias("high")).alias(f"c{i}")
+                             for i in range(len(columns)))).first()
+    wanted = []  # key, column, probability's place, rank, bounds
+    for i, c in enumerate(columns):
+        for j, p in enumerate(probs):
+            if seen[i]["n"]:
+                rank = max(math.ceil(seen[i]["n"] * p - 1e-9), 1)
+                wanted.append((len(wanted), c, j, rank, seen[i]["low"][j], seen[i]["high"][j]))
+    found = _values_at(df.select(*numbers), wanted)
+    missed = [(*w[:4], -math.inf, math.inf) for w in wanted if w[0] not in found]
+    if missed:
+        found |= _values_at(df.select(*numbers), missed)
+    cuts = {c: [None] * len(probs) for c in columns}
+    for key, c, j, *_ in wanted:
+        cuts[c][j] = found[key]
+    return F.create_map(*(x for c in columns for x in (
+        F.lit(c), F.array(*(F.lit(v).cast("double") for v in cuts[c])))))
+
+
+def _values_at(df: DataFrame, wanted: list[tuple]) -> dict[int, float]:
+    """The value at each wanted rank, where it lies within its bounds."""
+    if not wanted:
+        return {}
+    # A null value stands for all rows below the bounds.
+    cells = F.array(*(F.struct(F.lit(key).alias("key"), F.when(F.col(c) >= F.lit(low), F.col(c)).alias("value"),
+                               (F.col(c) <= F.lit(high)).alias("near"))
+                      for key, c, _, _, low, high in wanted))
+    counts = written(df.select(F.inline(cells)).filter("near").groupBy("key", "value")
+                     .agg(F.count(F.lit(1)).alias("n")), "quantile-counts")
+    totals = {r["key"]: (r["all"], r["below"]) for r in counts.groupBy("key").agg(
+        F.sum("n").alias("all"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("below")).collect()}
+    places, before = {}, 0
+    for key, _, _, rank, *_ in sorted(wanted):
+        whole, below = totals.get(key, (0, 0))
+        if below < rank <= whole:
+            places[key] = before + rank
+        before += whole
+    if not places:
+        return {}
+    running = with_running_sums(counts, [F.asc("key"), F.asc_nulls_first("value")], {"upto": "n"})
+    hit = F.exists(F.array(*map(F.lit, places.values())),
+                   lambda x: (x <= F.col("upto")) & (x > F.col("upto") - F.col("n")))
+    rows = running.filter(hit).select("key", "value").collect()  # a row per rank at most
+    return {r["key"]: r["value"] for r in rows if r["key"] in places}
 
 
 def cap_outliers(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
     """Clamp each column to ``reach`` interquartile ranges beyond its quartiles.
 
-    All columns share the three passes of :func:`column_quantiles`. A null stays null.
+    All columns share the two passes of :func:`column_quantiles`. A null stays null.
     """
     kept = df.columns
     df = df.withColumn("_cuts", column_quantiles(df, columns, [0.25, 0.75]))
