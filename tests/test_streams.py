@@ -161,7 +161,9 @@ def test_outliers_on_a_stream(spark, tmp_path):
     topic.send(*[order(i, i, price=10.0 + i % 3) for i in range(1, 60)],
                order(100, 61, price=5000.0), order(101, 62, items=16), order(102, 63, items=15))
     history = topic.table().filter("order_id < 100").select("status", "sale_price")
-    got = run(jobs.outlier_orders(topic.stream(), history), tmp_path)
+    statistics = jobs.price_statistics(history)
+    assert statistics.count() == 1
+    got = run(jobs.outlier_orders(topic.stream(), statistics), tmp_path)
     assert keyed(got, "order_id", "high_price", "many_items") == [(100, True, False), (101, False, True)]
 
 

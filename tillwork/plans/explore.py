@@ -20,7 +20,7 @@ from tillwork.functions.columns import (
 from tillwork.operators.distribution import (
     column_quantiles, counted_values, histogram, in_share, moments_of_counts, share_of_max,
     share_of_total)
-from tillwork.operators.ranking import average_rank
+from tillwork.operators.ranking import average_rank, with_running_sums
 from tillwork.operators.shape import in_order, spread
 from tillwork.sources.shop import Shop
 
@@ -390,11 +390,9 @@ def _delivery_statistics(shop: Shop, most_days: int, top: int) -> DataFrame:
 def delivery_overview(shop: Shop, most_days: int = 60) -> DataFrame:
     """Deliveries, mean and median days over all countries: one row."""
     counts = _delivery_counts(shop, most_days).groupBy("seconds").agg(F.sum("n").alias("n"))
-    # One row per whole second of the range at most.
-    ranked = counts.filter("seconds IS NOT NULL").withColumns({
-        "upto": F.sum("n").over(Window.orderBy("seconds")), "all": F.sum("n").over(_everywhere())})
+    ranked = with_running_sums(counts.filter("seconds IS NOT NULL"), [F.asc("seconds")], {"upto": "n"})
     stats = moments_of_counts("seconds")
-    reached = F.col("upto") >= F.ceil(F.col("all") / F.lit(2))
+    reached = F.col("upto") >= F.ceil(F.col("upto_all") / F.lit(2))
     return ranked.agg(
         stats["count"].alias("n"), rounded(stats["mean"] / DAY, DETAIL).alias("mean_days"),
         rounded(_in_days(F.min(F.when(reached, F.col("seconds")))), DETAIL).alias("median_days"))

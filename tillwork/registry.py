@@ -180,7 +180,7 @@ def _streams() -> None:
 
     def outliers(s: StarShop) -> DataFrame:
         messages = streams.star_order_messages(s.table("events"))
-        return jobs.outlier_orders(messages, messages)
+        return jobs.outlier_orders(messages, jobs.price_statistics(messages))
     on_shop("str15_outlier_orders", outliers)
 
     on_shop("r1a_value_by_status", lambda s: rollups.value_by_status(_orders(s)))

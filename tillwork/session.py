@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +73,14 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write what ``build`` returns, and remove the tables that it wrote on the way."""
+    with scratch(spark) as paths:
+        result = written(build(), name)
+        paths.pop()
+    return result
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages read files, whichever executors are lost."""
     shared_folder(df.sparkSession)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.columns import (
     ALERT_TIERS, flag, iso_instant, lost_revenue, margin_status, mean, percent, rounded, stock_tier)
+from tillwork.session import written
 
 # --- Fixed values -------------------------------------------------------------------
 FUNNEL_STAGES = ["home", "department", "product", "cart", "purchase"]
@@ -227,19 +228,26 @@ def revenue_dashboard(messages: DataFrame, length: str = "2 minutes",
 
 # --- outliers ---------------------------------------------------------------------------
 
-def price_limit(history: DataFrame) -> Column:
-    """Mean plus three deviations of the price of past orders, as a scalar."""
+def price_statistics(history: DataFrame) -> DataFrame:
+    """Number, mean and deviation of past prices: one row, stored and refreshed on its own schedule."""
     price = F.col("sale_price").cast("double")
-    return history.agg(F.avg(price) + OUTLIER_DEVIATIONS * F.stddev_samp(price)).scalar()
+    return written(history.agg(F.count(price).alias("n"), F.avg(price).alias("mean"),
+                               F.stddev_samp(price).alias("deviation")), "price-statistics")
 
 
-def outlier_orders(messages: DataFrame, history: DataFrame) -> DataFrame:
-    """Orders priced far above the stored history, or with too many items.
+def price_limit(statistics: DataFrame) -> Column:
+    """Mean plus three deviations, as a scalar over the stored row."""
+    return statistics.select(F.col("mean") + OUTLIER_DEVIATIONS * F.col("deviation")).scalar()
 
-    The limit is one number from a stored table, so the same function serves a stream.
+
+def outlier_orders(messages: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Orders priced far above the history, or with too many items.
+
+    The limit comes from the row that :func:`price_statistics` stored: a micro-batch of a stream
+    reads that row, not the history.
     """
     price, items = F.col("sale_price"), F.col("num_of_item")
-    judged = messages.withColumn("_limit", price_limit(history)).withColumns({
+    judged = messages.withColumn("_limit", price_limit(statistics)).withColumns({
         "high_price": F.coalesce(price.cast("double") > F.col("_limit"), F.lit(False)),
         "many_items": F.coalesce(items > OUTLIER_ITEMS, F.lit(False))})
     return judged.filter("high_price OR many_items").select(
