@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwork.llm.graph import components
 from tillwork.llm.shingles import minima, mix, permutations, shingle_set
-from tillwork.session import written
+from tillwork.session import stored, written
 
 TREES, DEPTH = 20, 8
 
@@ -109,6 +109,12 @@ def similar_texts(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999
                   chunk_rows: int = 256, chunk_shingles: int = 1 << 18, id_column: str = "doc_id",
                   text_column: str = "text") -> DataFrame:
     """A row per document: id, class_id, n_links, component_id (smallest id reached), kept."""
+    return stored(docs.sparkSession, "forest-classes", lambda: _similar_texts(
+        docs, threshold, recall, width, chunk_rows, chunk_shingles, id_column, text_column))
+
+
+def _similar_texts(docs: DataFrame, threshold: float, recall: float, width: int, chunk_rows: int,
+                   chunk_shingles: int, id_column: str, text_column: str) -> DataFrame:
     kind = docs.schema[id_column].dataType.simpleString()
     length = prefix_length(threshold, recall)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
