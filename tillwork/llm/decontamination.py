@@ -6,7 +6,9 @@
    singular space, and the small matrix inside it whitens the latent coordinates, so that what
    all texts share weighs no more than what sets them apart.
 3. Candidate search: windows of every document, in sizes that fit inside the items, against all
-   items by cosine in the latent space. Window sums are differences of running sums.
+   items by cosine in the latent space. Window sums are differences of running sums. What the
+   leading directions cannot tell apart goes on only if the TF-IDF cosine, estimated by random
+   signs, is high enough as well.
 4. Candidates are checked by the longest common subsequence of words between the item and the
    text around the window. A share of ``exact`` of the item is a leak; a share of ``paraphrase``
    is one if the answer (given, or else the item's last sentence) is there as well, in order.
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwork.llm.shingles import word_hashes
 
-SIZE, RANK, PASSAGE = 1 << 14, 48, 64
+SIZE, RANK, SIGNS, PASSAGE = 1 << 14, 32, 48, 64
 SIZES = (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512)
 SLICES = 64
 
@@ -46,7 +48,9 @@ def word_weights(texts: DataFrame) -> np.ndarray:
         total, rows = np.zeros(SIZE, "int64"), 0
         for batch in batches:
             for text in batch["text"]:
-                total[np.unique(_word_ids(text))] += 1
+                seen = np.zeros(SIZE, bool)
+                seen[_word_ids(text)] = True
+                total += seen
             rows += len(batch)
         yield pd.DataFrame({"place": np.arange(SIZE + 1), "n": np.append(total, rows)})
 
@@ -113,26 +117,48 @@ def latent_space(texts: DataFrame, weights: np.ndarray) -> np.ndarray:
     return (basis @ (vector / np.sqrt(value)) * weights[:, None]).astype("float32")
 
 
+def sign_vectors(weights: np.ndarray) -> np.ndarray:
+    """A random sign vector per hash value, times its weight: cosines of sums estimate TF-IDF cosines."""
+    signs = np.random.default_rng(13).integers(0, 2, (SIZE, SIGNS)) * 2 - 1
+    return (signs * weights[:, None]).astype("float32")
+
+
 # --- word by word --------------------------------------------------------------------------
 
-def common_words(item: list, text: list) -> int:
-    """Length of the longest common subsequence (bit-parallel)."""
+def word_places(item: list) -> dict:
+    """The places of every word as bits."""
     places = defaultdict(int)
     for k, word in enumerate(item):
         places[word] |= 1 << k
+    return dict(places)
+
+
+def common_words(item: list, text: list, least: float = 0, places: dict | None = None) -> int:
+    """Length of the longest common subsequence (bit-parallel); 0 if it is surely below ``least``."""
+    places = word_places(item) if places is None else places
+    met = [hit for word in text if (hit := places.get(word))]
+    seen = 0
+    for hit in met:
+        seen |= hit
+    if seen.bit_count() < least:
+        return 0
     full = (1 << len(item)) - 1
     row = full
-    for word in text:
-        hit = row & places.get(word, 0)
+    for hit in met:
+        hit &= row
         row = (row + hit | row - hit) & full
     return len(item) - row.bit_count()
 
 
+def _unit(z: np.ndarray) -> np.ndarray:
+    return z / np.maximum(np.sqrt((z * z).sum(axis=-1, keepdims=True)), 1e-12)
+
+
 class Items:
     """A block of benchmark items with their word hashes, answers and latent vectors."""
 
-    def __init__(self, rows: list[tuple], vectors: np.ndarray, least: int):
-        self.ids, self.words, self.answers, latent, size = [], [], [], [], []
+    def __init__(self, rows: list[tuple], vectors: np.ndarray, signs: np.ndarray, least: int):
+        self.ids, self.words, self.places, self.answers, self.signs, latent, size = [], [], [], [], [], [], []
         for item, text, answer in rows:
             words = word_hashes(text or "")
             if len(words) < least:
@@ -142,10 +168,13 @@ class Items:
                 answer = sentences[-1] if sentences else ""
             self.ids.append(item)
             self.words.append(words.tolist())
+            self.places.append(word_places(self.words[-1]))
             self.answers.append(word_hashes(answer).tolist())
-            z = vectors[(words & np.uint64(SIZE - 1)).astype("int64")].sum(axis=0)
-            latent.append(z / max(np.linalg.norm(z), 1e-12))
+            hashes = (words & np.uint64(SIZE - 1)).astype("int64")
+            latent.append(_unit(vectors[hashes].sum(axis=0)))
+            self.signs.append(_unit(signs[hashes].sum(axis=0)))
             size.append(max(s for s in SIZES if s <= max(len(words), SIZES[0])))
+        self.signs = np.array(self.signs, "float32").reshape(-1, SIGNS)
         self.by_size = {s: (np.flatnonzero(np.array(size) == s), np.array(latent)[np.array(size) == s]) for s in sorted(set(size))}
 
 
@@ -161,24 +190,30 @@ def _windows(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([begin, starts[:-1][short]]), np.concatenate([begin + size, starts[1:][short]])
 
 
-def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, paraphrase: float):
+def _searcher(items: Items, vectors: np.ndarray, signs: np.ndarray, cosine: float, words_cosine: float,
+              exact: float, paraphrase: float):
     def search(batches):
         for batch in batches:
             docs, found = batch["id"].to_numpy(), {}
             texts = batch["text"].tolist()
             for rows, ids, starts in _chunks(texts):
-                sums = np.zeros((len(ids) + 1, RANK))
+                sums, totals = np.zeros((len(ids) + 1, RANK)), np.zeros((len(ids) + 1, SIGNS))
                 np.cumsum(vectors[ids], axis=0, out=sums[1:])
+                np.cumsum(signs[ids], axis=0, out=totals[1:])
                 hits = defaultdict(list)
                 for size, (numbers, latent) in items.by_size.items():
                     begin, end = _windows(starts, size)
                     for at in range(0, len(begin), 8192):
                         a, b = begin[at:at + 8192], end[at:at + 8192]
-                        z = (sums[b] - sums[a]).astype("float32")
-                        z /= np.maximum(np.sqrt((z * z).sum(axis=1, keepdims=True)), 1e-12)
-                        w, i = np.nonzero(z @ latent.T >= cosine)
+                        w, i = np.nonzero(_unit((sums[b] - sums[a]).astype("float32")) @ latent.T >= cosine)
+                        if not len(w):
+                            continue
+                        some, back = np.unique(w, return_inverse=True)
+                        z = _unit((totals[b[some]] - totals[a[some]]).astype("float32"))
+                        near = np.einsum("ij,ij->i", z[back], items.signs[numbers[i]]) >= words_cosine
+                        w, i = w[near], i[near]
                         for text, item, window in zip(np.searchsorted(starts, a[w], "right") - 1, numbers[i], a[w]):
-                            hits[text].append((item, window - starts[text], size))
+                            hits[text].append((int(item), int(window - starts[text]), size))
                 for text, near in hits.items():
                     words = word_hashes(texts[rows[text]]).tolist()
                     best = {}
@@ -186,8 +221,10 @@ def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, pa
                         own = items.words[item]
                         if best.get(item, (0, 0))[0] >= exact * len(own):
                             continue
-                        part = words[max(0, window - len(own)):window + size + len(own)]
-                        common = common_words(own, part)
+                        # The window lies in the item, up to a third of it may stand out; room for edits.
+                        room = max(len(own) - size, 0) + size // 2 + 4
+                        part = words[max(0, window - room):window + size + room]
+                        common = common_words(own, part, paraphrase * len(own), items.places[item])
                         if common >= paraphrase * len(own):
                             answer = items.answers[item]
                             whole = bool(answer) and common_words(answer, part) == len(answer)
@@ -201,7 +238,7 @@ def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, pa
     return search
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, exact: float = 0.8, paraphrase: float = 0.6,
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.7, words_cosine: float = 0.45, exact: float = 0.8, paraphrase: float = 0.6,
           least: int = 8, block_items: int = 10_000, id_column: str = "doc_id", text_column: str = "text",
           item_column: str = "item_id", item_text: str = "text", answer_column: str | None = None) -> DataFrame:
     """A row per document and item that it holds: id, item_id, common_words, item_words."""
@@ -211,13 +248,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, exact: flo
     queries = benchmark.select(F.col(item_column), F.col(item_text),
                                F.col(answer_column) if answer_column else F.lit(None).cast("string")).toDF("item", "text", "answer")
     weights = word_weights(texts)
-    vectors = latent_space(texts, weights)
+    vectors, signs = latent_space(texts, weights), sign_vectors(weights)
     blocks = max(1, -(-queries.count() // block_items))
     found = None
     for block in range(blocks):
         rows = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        items = Items([tuple(r) for r in rows], vectors, least)
-        some = texts.select("id", "text").mapInPandas(_searcher(items, vectors, cosine, exact, paraphrase), schema)
+        items = Items([tuple(r) for r in rows], vectors, signs, least)
+        some = texts.select("id", "text").mapInPandas(_searcher(items, vectors, signs, cosine, words_cosine, exact, paraphrase), schema)
         found = some if found is None else found.unionByName(some)
     return found.groupBy("id", "item_id").agg(F.max("common_words").alias("common_words"), F.max("item_words").alias("item_words")
                                              ).withColumnRenamed("id", id_column)

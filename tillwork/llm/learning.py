@@ -39,10 +39,12 @@ def matrix(df: DataFrame, *names: str) -> tuple[np.ndarray, list[list]]:
     """Features and other columns of a bounded sample, on the driver."""
     table = df.select("x", *names).toArrow().combine_chunks()
     rows = table.num_rows
-    x = table["x"].combine_chunks()
-    flat = (x.chunk(0) if hasattr(x, "chunk") and x.num_chunks else x)
-    values = np.asarray(flat.flatten(), dtype="float32") if rows else np.zeros(0, "float32")
-    return values.reshape(rows, -1), [table[name].to_pylist() for name in names]
+    flat = table["x"].combine_chunks()
+    if hasattr(flat, "chunk") and flat.num_chunks:
+        flat = flat.chunk(0)
+    if not rows:
+        return np.zeros((0, 0), "float32"), [[] for _ in names]
+    return np.asarray(flat.flatten(), dtype="float32").reshape(rows, -1), [table[name].to_pylist() for name in names]
 
 
 # --- features ------------------------------------------------------------------------------
