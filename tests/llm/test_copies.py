@@ -35,6 +35,19 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_words_are_runs_of_letters_and_digits(spark):
+    from tillwork.llm.shingles import word_hashes
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    seen = {}
+    for text in [*texts, "", "  ", "a", "!a", "a!", "é b", "x_y", "A1 b2", "ß Straße…“quoted”", "中文。字"]:
+        words = re.sub(r"[^\w]+|_+", " ", text.lower()).split()
+        hashes = word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        for word, h in zip(words, hashes):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen) > 1000
+
+
 WORDS = [a + b for a in ("ka", "lo", "mi", "ru", "te", "no", "si") for b in ("ra", "len", "s", "tor", "ma", "dig", "vu", "pek")]
 
 

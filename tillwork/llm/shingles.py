@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 
-_OTHER = re.compile(r"[^\w]+|_+")
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, "uint64"), np.ones(1, "uint64")]
 _WORD = np.zeros(256, bool)
@@ -34,14 +31,20 @@ def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(text: str) -> np.ndarray:
     """A hash per word (run of letters and digits, lower case) in the order of the text."""
     low = text.lower()
-    raw = np.frombuffer((low if low.isascii() else _OTHER.sub(" ", low)).encode("utf-8", "replace"), dtype="uint8")
+    if not low.isascii():
+        for sign in set(low):
+            if sign > "\x7f" and not sign.isalnum():
+                low = low.replace(sign, " ")
+    raw = np.frombuffer(low.encode("utf-8", "replace"), dtype="uint8")
     if not len(raw):
         return np.zeros(0, "uint64")
-    edges = np.diff(_WORD[raw].astype("int8"), prepend=0, append=0)
-    start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    inside = _WORD[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.concatenate([[0] if inside[0] else [], edges, [len(raw)] if inside[-1] else []]).astype("int64")
+    start, end = edges[::2], edges[1::2]
     up, down = powers(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, "uint64")
-    np.cumsum((raw.astype("uint64") + np.uint64(1)) * up[:-1], out=sums[1:])
+    np.cumsum(raw * up[:-1], out=sums[1:])
     return mix((sums[end] - sums[start]) * down[start])
 
 
