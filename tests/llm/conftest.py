@@ -1,10 +1,8 @@
 import pytest
 
-from tests.conftest import spark  # noqa: F401
-
 
 @pytest.fixture
-def docs(spark):  # noqa: F811
+def docs(spark):
     """Make a documents table from (id, text[, lang]) rows."""
     def build(rows, extra=""):
         full = [(*r, None)[:3] if len(r) == 2 else r for r in rows]
