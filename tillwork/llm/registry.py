@@ -30,8 +30,8 @@ def op6_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, folder, "documents"))
-    return packing.pack(pieces).select(
-        packing.F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(pieces).selectExpr(
+        "id as doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query

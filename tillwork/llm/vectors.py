@@ -89,8 +89,9 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, reach: float, size: int) -> Data
         numbered, ", ".join([*kept, "near array<double>", "part int", "block int"]))
 
 
-def _near_blocks(blocks: DataFrame, count: int, reach: float) -> DataFrame:
-    """Pairs a <= b of blocks whose boxes are within reach, by opening intervals from the root."""
+def _near_blocks(blocks: DataFrame, count: int, reach: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs a <= b of blocks whose boxes are within reach, by opening intervals from the root, and
+    which block has which number."""
     spark = blocks.sparkSession
     box = ([F.min(F.col("near")[i]).alias(f"low{i}") for i in range(count)]
            + [F.max(F.col("near")[i]).alias(f"high{i}") for i in range(count)])
