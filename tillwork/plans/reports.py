@@ -15,7 +15,7 @@ from tillwork.functions.columns import (
     rfm_segment, rounded)
 from tillwork.operators.distribution import box_plot
 from tillwork.operators.ranking import top_groups, top_per_group, with_approximate_tiles, with_tiles
-from tillwork.operators.shape import in_order, spread
+from tillwork.operators.shape import in_order
 from tillwork.sources.shop import Shop
 
 RECENCY_DATE = "2024-01-01"

@@ -6,15 +6,12 @@ Sums over windows need windows that do not overlap: feed these from tumbling win
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import STOCK_TIERS, mean, percent, position_in, rounded
 from tillwork.operators.distribution import share_of_max
 from tillwork.operators.ranking import members_of_top
-from tillwork.operators.shape import spread
 from tillwork.streaming.jobs import FUNNEL_STAGES
 
 LAST_WINDOWS = 30
