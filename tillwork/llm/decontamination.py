@@ -238,7 +238,7 @@ def _searcher(items: Items, vectors: np.ndarray, signs: np.ndarray, cosine: floa
     return search
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.7, words_cosine: float = 0.45, exact: float = 0.8, paraphrase: float = 0.6,
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, words_cosine: float = 0.45, exact: float = 0.8, paraphrase: float = 0.6,
           least: int = 8, block_items: int = 10_000, id_column: str = "doc_id", text_column: str = "text",
           item_column: str = "item_id", item_text: str = "text", answer_column: str | None = None) -> DataFrame:
     """A row per document and item that it holds: id, item_id, common_words, item_words."""
