@@ -100,6 +100,23 @@ def test_lines_keep_one_of_each_component(docs):
     assert kept == set(first.values())
 
 
+def test_lines_equal_brute_force_over_all_characters(docs):
+    r = random.Random(6)
+    apart = ["session 1704067200123", "session 1704067200999", "order1000000001", "order1000000002", "Donaudampfschifffahrt beginnt", "Donaudampfmaschine beginnt"]
+    hexes = ["".join(r.choices("0123456789abcdef", k=120)) for _ in range(12)]
+    near = [x for h in hexes for x in (h, "_" + h[1:], h[:-1] + "_", h[:60] + "_" + h[61:])]
+    found = [" ".join(words(60, 300 + i)) for i in range(12)]
+    near += [x for t in found for x in (t, "x" + t, t + "s")]
+    texts = apart + near
+    got = {x["id"]: x["first_id"] for x in lines.line_classes(docs(list(enumerate(texts)))).collect()}
+    chars = [{t.lower()[k:k + 10] for k in range(len(t))} for t in texts]
+    starts = [set(re.findall(r"(?<![a-z0-9])(?=([a-z0-9]{11,}|.{1,10}))", t.lower())) for t in texts]
+    edges = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+             if any(len(s[a] & s[b]) >= 0.8 * len(s[a] | s[b]) for s in (chars, starts))]
+    assert got == groups(range(len(texts)), edges) and len(edges) > 60
+    assert all(got[i] == i for i in range(len(apart)))
+
+
 def test_lines_are_taken_out_of_texts(spark, docs):
     rows = [(1, "first line of all\nfooter of the site"), (2, "second line here\nfooter of the site\n"), (3, "first line of all"), (4, ""), (5, None)]
     df = docs(rows).withColumn("__x", F.lit(1)).withColumn("n_chars", F.length("text"))
