@@ -117,6 +117,15 @@ def test_lines_equal_brute_force_over_all_characters(docs):
     assert all(got[i] == i for i in range(len(apart)))
 
 
+def test_band_keys_depend_on_the_set_alone(spark):
+    r = random.Random(2)
+    own = [r.randrange(-2 ** 63, 2 ** 63) for _ in range(200)]
+    lists = [own, own + own[:1] * 5000, own[::-1] + own[:20] * 50]
+    keys = lines.band_keys(F.col("h"), 8, 3)
+    got = [x["k"] for x in spark.createDataFrame([(h,) for h in lists], "h array<long>").select(keys.alias("k")).collect()]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 8
+
+
 def test_lines_are_taken_out_of_texts(spark, docs):
     rows = [(1, "first line of all\nfooter of the site"), (2, "second line here\nfooter of the site\n"), (3, "first line of all"), (4, ""), (5, None)]
     df = docs(rows).withColumn("__x", F.lit(1)).withColumn("n_chars", F.length("text"))
