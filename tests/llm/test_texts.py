@@ -167,6 +167,24 @@ def test_leaks_are_found_and_clean_documents_are_not(spark, docs):
     assert {(x["doc_id"], x["item_id"]) for x in blocks} == want
 
 
+def test_no_paraphrase_is_lost_before_the_word_check(spark, docs):
+    r = random.Random(18)
+    text = lambda n: r.choices(VOICE, k=n)
+    items = [(i, text(r.randint(10, 94)), text(6)) for i in range(60)] + [(60, text(3000), text(6))]
+    bench = spark.createDataFrame([(i, f"{' '.join(q)}. {' '.join(a)}.") for i, q, a in items], "item_id long, text string")
+    rows, want = [], set()
+    for n in range(300):
+        i, q, a = items[n % 61]
+        kept = set(r.sample(range(len(q)), round(len(q) * r.uniform(0.55, 0.85)))) if i < 60 else set(range(3000))
+        part = [w if k in kept else r.choice(VOICE) for k, w in enumerate(q)] + a
+        rows.append((n, " ".join([*text(r.randint(0, 300)), *part, *text(r.randint(0, 300))])))
+        if decontamination.common_words(q + a, part) >= 0.6 * len(q + a):
+            want.add((n, i))
+    found = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(docs(rows), bench).collect()}
+    assert len(want) > 200 and want <= found
+    assert all(i == n % 61 for n, i in found)
+
+
 def test_every_leak_of_the_small_tables(spark):
     con = duckdb.connect()
     want = con.execute(f"""SELECT doc_id, item_id FROM '{MIDDLE}/documents.parquet' d, '{MIDDLE}/benchmark.parquet' b

@@ -6,9 +6,13 @@
    singular space, and the small matrix inside it whitens the latent coordinates, so that what
    all texts share weighs no more than what sets them apart.
 3. Candidate search: windows of every document, in sizes that fit inside the items, against all
-   items by cosine in the latent space. Window sums are differences of running sums. What the
-   leading directions cannot tell apart goes on only if the TF-IDF cosine, estimated by random
-   signs, is high enough as well.
+   items by cosine in the latent space (window sums are differences of running sums); and, so that
+   no estimate decides, every place of an anchor. Anchors of an item are as many of its rarest
+   words that a share of ``exact`` of the item cannot miss them all, and the rarest word of its
+   answer, which a paraphrase must hold. Around a candidate, enough of the rarer words of the item
+   must occur for a share of ``paraphrase`` to be possible. Both are bounds, not estimates: what
+   step 4 accepts always gets there, if the passage is longer or shorter than the item by less
+   than half.
 4. Candidates are checked by the longest common subsequence of words between the item and the
    text around the window. A share of ``exact`` of the item is a leak; a share of ``paraphrase``
    is one if the answer (given, or else the item's last sentence) is there as well, in order.
@@ -33,8 +37,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwork.llm.shingles import word_hashes
 
-SIZE, RANK, SIGNS, PASSAGE = 1 << 14, 32, 48, 64
-SIZES = (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512)
+SIZE, RANK, PASSAGE = 1 << 14, 32, 64
+SIZES = (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 3072, 4096)
 SLICES = 64
 
 
@@ -117,12 +121,6 @@ def latent_space(texts: DataFrame, weights: np.ndarray) -> np.ndarray:
     return (basis @ (vector / np.sqrt(value)) * weights[:, None]).astype("float32")
 
 
-def sign_vectors(weights: np.ndarray) -> np.ndarray:
-    """A random sign vector per hash value, times its weight: cosines of sums estimate TF-IDF cosines."""
-    signs = np.random.default_rng(13).integers(0, 2, (SIZE, SIGNS)) * 2 - 1
-    return (signs * weights[:, None]).astype("float32")
-
-
 # --- word by word --------------------------------------------------------------------------
 
 def word_places(item: list) -> dict:
@@ -155,10 +153,11 @@ def _unit(z: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A block of benchmark items with their word hashes, answers and latent vectors."""
+    """A block of benchmark items with their word hashes, answers, anchors and latent vectors."""
 
-    def __init__(self, rows: list[tuple], vectors: np.ndarray, signs: np.ndarray, least: int):
-        self.ids, self.words, self.places, self.answers, self.signs, latent, size = [], [], [], [], [], [], []
+    def __init__(self, rows: list[tuple], vectors: np.ndarray, weights: np.ndarray, least: int, exact: float, paraphrase: float):
+        self.ids, self.words, self.places, self.answers, latent, size = [], [], [], [], [], []
+        anchors, rarer, self.needed = [], [], []
         for item, text, answer in rows:
             words = word_hashes(text or "")
             if len(words) < least:
@@ -166,17 +165,66 @@ class Items:
             if answer is None:
                 sentences = [s for s in re.split(r"(?<=[.!?])\s+", text.strip()) if len(word_hashes(s))]
                 answer = sentences[-1] if sentences else ""
+            number, length = len(self.ids), len(words)
             self.ids.append(item)
             self.words.append(words.tolist())
             self.places.append(word_places(self.words[-1]))
             self.answers.append(word_hashes(answer).tolist())
             hashes = (words & np.uint64(SIZE - 1)).astype("int64")
+            rarest = np.argsort(-weights[hashes], kind="stable")
+            missed = [length - int(np.ceil(share * length - 1e-9)) for share in (exact, paraphrase)]
+            anchors += [(hashes[k], number, k) for k in rarest[:missed[0] + 1]]
+            anchors += [(h, number, k) for h, k in _answer_anchors(self.words[-1], self.answers[-1], weights)]
+            some = rarest[:missed[1] + max((length - missed[1]) // 2, 1)]
+            self.needed.append(len(some) - missed[1])
+            rare = np.zeros(SIZE, bool)
+            rare[hashes[some]] = True
+            rarer.append(np.packbits(rare))
             latent.append(_unit(vectors[hashes].sum(axis=0)))
-            self.signs.append(_unit(signs[hashes].sum(axis=0)))
-            size.append(max(s for s in SIZES if s <= max(len(words), SIZES[0])))
-        self.signs = np.array(self.signs, "float32").reshape(-1, SIGNS)
+            size.append(max(s for s in SIZES if s <= max(length, SIZES[0])))
+        self.length, self.needed = np.array([len(w) for w in self.words], "int64"), np.array(self.needed, "int64")
+        self.rarer = np.array(rarer, "uint8").reshape(-1, SIZE // 8)
+        table = np.unique(np.array(anchors, "int64").reshape(-1, 3), axis=0)
+        self.anchor_item, self.anchor_place = table[:, 1], table[:, 2]
+        self.anchor_at = np.searchsorted(table[:, 0], np.arange(SIZE + 1))
         self.by_size = {s: (np.flatnonzero(np.array(size) == s), np.array(latent)[np.array(size) == s]) for s in sorted(set(size))}
 
+    def anchored(self, ids: np.ndarray, starts: np.ndarray):
+        """Candidates (item, begin, end) around the anchors among the words of some texts."""
+        count = self.anchor_at[ids + 1] - self.anchor_at[ids]
+        place = np.flatnonzero(count)
+        for at in range(0, len(place), 4096):
+            some = place[at:at + 4096]
+            n = count[some]
+            anchor = np.repeat(self.anchor_at[ids[some]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            item, begin = self.anchor_item[anchor], np.repeat(some, n) - self.anchor_place[anchor]
+            room, text = self.length[item] // 2 + 4, np.repeat(np.searchsorted(starts, some, "right") - 1, n)
+            yield (item, np.maximum(begin - room, starts[text]),
+                   np.minimum(begin + self.length[item] + room, starts[text + 1]))
+
+    def possible(self, ids: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        """The candidates, once each, around which enough of the item's rarer words occur."""
+        item, begin, end = np.unique(np.stack([item, begin, end]), axis=1)
+        cuts = np.unique(np.searchsorted(np.cumsum(end - begin), np.arange(0, (end - begin).sum(), 1 << 20)))
+        for a, b in zip(cuts, [*cuts[1:], len(item)]):
+            n = (end - begin)[a:b]
+            first = np.cumsum(n) - n
+            word = ids[np.arange(n.sum()) - np.repeat(first - begin[a:b], n)]
+            hit = self.rarer[np.repeat(item[a:b], n), word >> 3] >> (7 - (word & 7)).astype("uint8") & 1
+            near = np.add.reduceat(hit, first, dtype="int64") >= self.needed[item[a:b]]
+            yield from zip(item[a:b][near].tolist(), begin[a:b][near].tolist(), end[a:b][near].tolist())
+
+
+def _answer_anchors(words: list, answer: list, weights: np.ndarray) -> list[tuple]:
+    """The answer's rarest word with its place in the item; before and behind an item that does not end with it."""
+    if not answer:
+        return []
+    hashes = [h & (SIZE - 1) for h in answer]
+    best = max(range(len(answer)), key=lambda j: weights[hashes[j]])
+    if words[-len(answer):] == answer:
+        return [(hashes[best], len(words) - len(answer) + best)]
+    return [(hashes[best], 0), (hashes[best], len(words))]
+
 
 def _windows(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows of every text: a third of their size apart, one at each end; short texts whole."""
@@ -190,40 +238,41 @@ def _windows(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([begin, starts[:-1][short]]), np.concatenate([begin + size, starts[1:][short]])
 
 
-def _searcher(items: Items, vectors: np.ndarray, signs: np.ndarray, cosine: float, words_cosine: float,
-              exact: float, paraphrase: float):
+def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, paraphrase: float):
+    def near(ids, starts):
+        """Candidates by latent cosine and by anchors."""
+        sums = np.zeros((len(ids) + 1, RANK))
+        np.cumsum(vectors[ids], axis=0, out=sums[1:])
+        for size, (numbers, latent) in items.by_size.items():
+            begin, end = _windows(starts, size)
+            for at in range(0, len(begin), 8192):
+                a, b = begin[at:at + 8192], end[at:at + 8192]
+                w, i = np.nonzero(_unit((sums[b] - sums[a]).astype("float32")) @ latent.T >= cosine)
+                # The window lies in the item, up to a third of it may stand out; room for edits.
+                room = np.maximum(items.length[numbers[i]] - size, 0) + size // 2 + 4
+                text = np.searchsorted(starts, a[w], "right") - 1
+                yield numbers[i], np.maximum(a[w] - room, starts[text]), np.minimum(a[w] + size + room, starts[text + 1])
+        yield from items.anchored(ids, starts)
+
     def search(batches):
         for batch in batches:
             docs, found = batch["id"].to_numpy(), {}
             texts = batch["text"].tolist()
             for rows, ids, starts in _chunks(texts):
-                sums, totals = np.zeros((len(ids) + 1, RANK)), np.zeros((len(ids) + 1, SIGNS))
-                np.cumsum(vectors[ids], axis=0, out=sums[1:])
-                np.cumsum(signs[ids], axis=0, out=totals[1:])
-                hits = defaultdict(list)
-                for size, (numbers, latent) in items.by_size.items():
-                    begin, end = _windows(starts, size)
-                    for at in range(0, len(begin), 8192):
-                        a, b = begin[at:at + 8192], end[at:at + 8192]
-                        w, i = np.nonzero(_unit((sums[b] - sums[a]).astype("float32")) @ latent.T >= cosine)
-                        if not len(w):
-                            continue
-                        some, back = np.unique(w, return_inverse=True)
-                        z = _unit((totals[b[some]] - totals[a[some]]).astype("float32"))
-                        near = np.einsum("ij,ij->i", z[back], items.signs[numbers[i]]) >= words_cosine
-                        w, i = w[near], i[near]
-                        for text, item, window in zip(np.searchsorted(starts, a[w], "right") - 1, numbers[i], a[w]):
-                            hits[text].append((int(item), int(window - starts[text]), size))
-                for text, near in hits.items():
+                hits = defaultdict(set)
+                for item, begin, end in near(ids, starts):
+                    if len(item):
+                        for i, a, b in items.possible(ids, item, begin, end):
+                            text = int(np.searchsorted(starts, a, "right")) - 1
+                            hits[text].add((i, a - int(starts[text]), b - int(starts[text])))
+                for text, some in hits.items():
                     words = word_hashes(texts[rows[text]]).tolist()
                     best = {}
-                    for item, window, size in near:
+                    for item, a, b in sorted(some):
                         own = items.words[item]
                         if best.get(item, (0, 0))[0] >= exact * len(own):
                             continue
-                        # The window lies in the item, up to a third of it may stand out; room for edits.
-                        room = max(len(own) - size, 0) + size // 2 + 4
-                        part = words[max(0, window - room):window + size + room]
+                        part = words[a:b]
                         common = common_words(own, part, paraphrase * len(own), items.places[item])
                         if common >= paraphrase * len(own):
                             answer = items.answers[item]
@@ -238,7 +287,7 @@ def _searcher(items: Items, vectors: np.ndarray, signs: np.ndarray, cosine: floa
     return search
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, words_cosine: float = 0.45, exact: float = 0.8, paraphrase: float = 0.6,
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, exact: float = 0.8, paraphrase: float = 0.6,
           least: int = 8, block_items: int = 10_000, id_column: str = "doc_id", text_column: str = "text",
           item_column: str = "item_id", item_text: str = "text", answer_column: str | None = None) -> DataFrame:
     """A row per document and item that it holds: id, item_id, common_words, item_words."""
@@ -248,13 +297,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, words_cos
     queries = benchmark.select(F.col(item_column), F.col(item_text),
                                F.col(answer_column) if answer_column else F.lit(None).cast("string")).toDF("item", "text", "answer")
     weights = word_weights(texts)
-    vectors, signs = latent_space(texts, weights), sign_vectors(weights)
+    vectors = latent_space(texts, weights)
     blocks = max(1, -(-queries.count() // block_items))
     found = None
     for block in range(blocks):
         rows = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        items = Items([tuple(r) for r in rows], vectors, signs, least)
-        some = texts.select("id", "text").mapInPandas(_searcher(items, vectors, signs, cosine, words_cosine, exact, paraphrase), schema)
+        items = Items([tuple(r) for r in rows], vectors, weights, least, exact, paraphrase)
+        some = texts.select("id", "text").mapInPandas(_searcher(items, vectors, cosine, exact, paraphrase), schema)
         found = some if found is None else found.unionByName(some)
     return found.groupBy("id", "item_id").agg(F.max("common_words").alias("common_words"), F.max("item_words").alias("item_words")
                                              ).withColumnRenamed("id", id_column)
