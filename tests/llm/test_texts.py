@@ -121,6 +121,27 @@ def test_a_notice_over_several_lines(docs):
     assert [(r["kind"], r["licence"]) for r in licences.licence_notices(docs([(1, text)])).collect() if r["dice"] == 1] == [("paragraph", "MIT (permission)")]
 
 
+def test_notices_inside_longer_lines(docs):
+    header = licences.TEMPLATES["GPL-3.0 (header)"].split()
+    wrapped = "\n".join(" ".join(header[k:k + 9]) for k in range(0, len(header), 9))
+    code = "\n".join(f"int value{i} = call{i}(x, y{i});" for i in range(40))
+    mit = licences.TEMPLATES["MIT"]
+    rows = [(1, f"Copyright 2024 Example Inc. {mit}"),
+            (2, "Copyright (c) 2024 X. Licensed under the Apache License, Version 2.0."),
+            (3, f"Acme tool\n{wrapped}\n{code}"),
+            (4, f"some words {mit} and some more, {licences.TEMPLATES['CC-BY-4.0']} The end"),
+            (5, f"first line\n{mit}\nlast line"), (6, f"{code} under the terms of a license"), (7, f"{mit} " * 50)]
+    got = {}
+    for r in licences.licence_notices(docs(rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["place"], r["kind"], r["licence"], r["dice"]))
+    got = {k: sorted(v) for k, v in got.items()}
+    assert got[1] == [(4, "window", "MIT", 1)] and got[2] == [(4, "window", "Apache-2.0", 1)]
+    assert got[3] == [(2, "window", "GPL-3.0 (header)", 1)]
+    assert got[4] == [(2, "window", "MIT", 1), (10, "window", "CC-BY-4.0", 1)]
+    assert got[5] == [(1, "line", "MIT", 1)] and 6 not in got
+    assert [x for x in got[7] if x[1:] == ("window", "MIT", 1)] == [(5 * i, "window", "MIT", 1) for i in range(50)]
+
+
 def test_common_words_equals_the_table():
     def table(a, b):
         row = [0] * (len(b) + 1)
