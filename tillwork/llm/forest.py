@@ -1,9 +1,9 @@
-"""Similarity join over word shingles by an LSH forest.
+"""Similarity join over word shingles by fixed MinHash bands.
 
 Every text is a set of five-word shingles; equal sets are one class with a count. A class has a
-MinHash signature for each of several prefix trees. Two classes are candidates if their
-signatures share a prefix in any tree; the prefix is shortened from its full length until pairs
-at the threshold are met with the target recall, ``1 - (1 - threshold^length)^trees``. Classes
+MinHash key for each of several bands ("trees"). Two classes are candidates if they share a key.
+The rows of a band ("prefix") are the most, up to ``DEPTH``, that meet pairs at the threshold with
+the target recall, ``1 - (1 - threshold^length)^trees``; they do not depend on the data. Classes
 that meet in a tree (a sorted run of equal prefixes, reduced to its smallest class before it is
 shuffled) form candidate groups. Each group's shingle sets are brought together once, in chunks
 of bounded size; every two chunks of a group are compared in a task of their own, where pairs
