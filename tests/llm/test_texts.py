@@ -206,6 +206,14 @@ def test_no_paraphrase_is_lost_before_the_word_check(spark, docs):
     assert all(i == n % 61 for n, i in found)
 
 
+def test_a_better_copy_without_the_answer_hides_none(spark, docs):
+    r = random.Random(28)
+    q, a, other = r.sample(VOICE, 40), r.sample(VOICE, 6), lambda n: [f"zz{r.random()}"[:9].replace(".", "") for _ in range(n)]
+    bench = spark.createDataFrame([(1, f"{' '.join(q)}. {' '.join(a)}.")], "item_id long, text string")
+    text = [*other(99), *q[:25], *other(15), *a, *other(300), *q[:34], *other(99)]
+    assert [x["item_id"] for x in decontamination.leaks(docs([(1, " ".join(text))]), bench).collect()] == [1]
+
+
 def test_every_leak_of_the_small_tables(spark):
     con = duckdb.connect()
     want = con.execute(f"""SELECT doc_id, item_id FROM '{MIDDLE}/documents.parquet' d, '{MIDDLE}/benchmark.parquet' b

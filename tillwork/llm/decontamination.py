@@ -277,7 +277,8 @@ def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, pa
                         if common >= paraphrase * len(own):
                             answer = items.answers[item]
                             whole = bool(answer) and common_words(answer, part) == len(answer)
-                            best[item] = max(best.get(item, (0, 0)), (common, int(whole)))
+                            most, held = best.get(item, (0, 0))
+                            best[item] = max(most, common), max(held, int(whole))
                     for item, (common, whole) in best.items():
                         if common >= exact * len(items.words[item]) or whole:
                             found[rows[text], item] = common
