@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import (decontamination, forest, language, licences, lines, packing, quality, repeats,
+from tillwork.llm import (decontamination, forest, language, licences, lines, maxscore, packing, quality, repeats,
                           sharding, sql, vectors)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,11 @@ def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents"), length=100)
+
+
+@query
+def op11_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.top_by_inner_product(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+SQL["op11_top_vectors"] = sql.TOP_VECTORS

@@ -50,3 +50,16 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, min
        e.vec_id = min(other) AS kept
 FROM embeddings e JOIN reached r USING (vec_id) GROUP BY e.vec_id
 """
+
+TOP_VECTORS = """
+WITH good AS (
+    SELECT vec_id, row_number() OVER () AS row,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (SELECT q.row AS q_row, q.vec_id AS query_id, c.row, c.vec_id,
+                  CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+           FROM good q JOIN good c ON q.row <> c.row WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id NULLS LAST, row) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
