@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import (decontamination, forest, language, licences, lines, maxscore, packing, quality, repeats,
+from tillwork.llm import (collocations, decontamination, forest, language, licences, lines, maxscore, packing, quality, repeats,
                           sharding, sql, vectors)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,11 @@ def op11_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op11_top_vectors"] = sql.TOP_VECTORS
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), least=30, top=2000)
+
+
+SQL["op12_collocations"] = sql.COLLOCATIONS

@@ -63,3 +63,30 @@ scored AS (SELECT q.row AS q_row, q.vec_id AS query_id, c.row, c.vec_id,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id NULLS LAST, row) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, unnest(list_transform(range(1, CAST(len(w) - k + 2 AS BIGINT)), lambda i: list_slice(w, i, i + k - 1))) AS p
+          FROM words, (VALUES (1), (2), (3), (4)) AS lengths(k)),
+f AS (SELECT lang, p, count(*) AS a FROM grams GROUP BY lang, p),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+candidates AS (SELECT * FROM f WHERE len(p) > 1 AND a >= 30),
+cuts AS (SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r,
+                CAST((CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+         FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+         JOIN f x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k)
+         JOIN f y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, len(c.p))),
+cheapest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+spans(begin, size) AS (VALUES (1, 2), (2, 2), (3, 2), (1, 3), (2, 3)),
+inside AS (SELECT lang, list_slice(p, begin, begin + size - 1) AS p, max(a) AS longer
+           FROM candidates, spans WHERE size < len(p) AND begin + size - 1 <= len(p) GROUP BY ALL),
+kept AS (SELECT c.* FROM cheapest c LEFT JOIN inside i ON i.lang = c.lang AND i.p = c.p
+         WHERE 100 * coalesce(longer, 0) < 80 * a),
+named AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM kept),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
