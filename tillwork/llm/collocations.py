@@ -46,7 +46,7 @@ _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 # Upper case to lower case, the ends of pieces to BREAK, the tabulator to a space.
 FOLD = bytes.maketrans(_UPPER + b".,;:!?\n\x0b\x0c\r\t", _LOWER + BREAK * 10 + b" ")
 SLICE = 1 << 20  # bytes of a text that are split at a time
-FLUSH = 1 << 22  # words that a task numbers before it passes its counts on
+FLUSH, VOCABULARY = 1 << 21, 1 << 18  # running and different words that a task holds before it passes counts on
 SEGMENT = 19  # bits of the bit table in one row
 LONGEST = 4
 MOST_BITS = 29
@@ -100,11 +100,18 @@ def _pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _streams(batches, use):
     """Feed the words of every language to ``use(lang, ids, words)`` whenever there are enough."""
     open_words: dict[str, Words] = defaultdict(Words)
+    size = known = 0
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
+            known += lang not in open_words  # the mark of a break
             words = open_words[lang]
+            size, known = size - words.size, known - len(words.number)
             words.add(text)
-            if words.size >= FLUSH:
+            size, known = size + words.size, known + len(words.number)
+            while size >= FLUSH or known >= VOCABULARY:
+                lang = max(open_words, key=lambda x: open_words[x].size)
+                words = open_words.pop(lang)
+                size, known = size - words.size, known - len(words.number)
                 yield from use(lang, *words.take())
     for lang, words in open_words.items():
         if words.size:
