@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import (collocations, decontamination, forest, language, licences, lines, maxscore, packing, quality, repeats,
+from tillwork.llm import (collocations, decontamination, forest, language, licences, lines, maxscore, packing, quality, repair, repeats,
                           sharding, sql, vectors)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op12_collocations"] = sql.COLLOCATIONS
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repairs_after_damage(table(spark, folder, "conversations"))
