@@ -44,7 +44,7 @@ KEEPS = {"s": {NOTHING: SYSTEM}, "u": {NOTHING: USER, SYSTEM: USER, ASSISTANT: U
 RIGHT = {"su", "ua", "au"}
 REROLE, DELETE, INSERT, CUT = 3, 4, 3, 3
 FINAL = (0, None, None, 0)  # what it costs to end in each state; None: not allowed
-SEGMENT, SEGMENT_BYTES = 256, 4 << 20
+SEGMENT, SEGMENT_BYTES = 64, 4 << 20
 
 
 class Lattice:
@@ -78,24 +78,34 @@ class Lattice:
             node = 4 * self.size + state
             if ends[state] is not None:
                 arcs[node] = [("", ends[state], self.end), *arcs[node]]
+        leads = self.leading(arcs, lambda node, cost, j: True)
+        arcs = [[arc for arc in node if leads[arc[2]]] for node in arcs]  # no price need rise where no way goes
         low = min(e for e in ends if e is not None)
         return arcs, [low + self.least[n // 4] for n in range(4 * (self.size + 1))] + [0]
 
+    def leading(self, arcs: list, passes) -> bytearray:
+        """Which nodes lead to the end along arcs that ``passes(node, cost, to)`` lets through."""
+        leads = bytearray(self.end + 1)
+        leads[self.end] = 1
+        for n in range(self.size, -1, -1):
+            for _ in STATES:  # inserts stay in their layer
+                for node in range(4 * n, 4 * n + 4):
+                    if not leads[node] and any(leads[j] and passes(node, cost, j) for _, cost, j in arcs[node]):
+                        leads[node] = 1
+        return leads
+
     def auction(self, arcs: list, price: list[int], origin: int) -> int | None:
-        """The cheapest cost from ``origin`` to the end; prices rise until they prove it."""
-        path, bound = [origin], price[origin] + (DELETE + REROLE + 2 * INSERT) * (self.size + 2)
+        """The cheapest cost from ``origin`` to the end; prices rise until they prove it. None: no way."""
+        if not arcs[origin]:
+            return None
+        path = [origin]
         while path[-1] != self.end:
             node = path[-1]
             best, to = None, None
             for _, cost, j in arcs[node]:
                 if best is None or cost + price[j] < best:
                     best, to = cost + price[j], j
-            if best is None or best > bound:  # no way to the end from here
-                price[node] = best = bound + 1
-                if len(path) == 1:
-                    return None
-                path.pop()
-            elif price[node] < best:
+            if price[node] < best:
                 price[node] = best
                 if len(path) > 1:
                     path.pop()
@@ -105,13 +115,7 @@ class Lattice:
 
     def trace(self, arcs: list, price: list[int], origin: int) -> tuple[str, int]:
         """The least audit among the cheapest paths, and the state it ends in."""
-        reaches = bytearray(self.end + 1)
-        reaches[self.end] = 1
-        for n in range(self.size, -1, -1):
-            for _ in STATES:  # inserts stay in their layer
-                for node in range(4 * n, 4 * n + 4):
-                    if not reaches[node] and any(reaches[j] and price[node] == cost + price[j] for _, cost, j in arcs[node]):
-                        reaches[node] = 1
+        reaches = self.leading(arcs, lambda node, cost, j: price[node] == cost + price[j])
         node, audit = origin, []
         while True:
             letter, to = next((a, j) for a, cost, j in arcs[node] if reaches[j] and price[node] == cost + price[j])
