@@ -88,7 +88,7 @@ def test_small_flushes_slices_and_a_full_bit_table(docs, monkeypatch):
         words.add(text or "")
     whole = words.take()
     assert small[1] == whole[1] and small[0].tolist() == whole[0].tolist()
-    monkeypatch.setattr(collocations, "_bit_table", lambda pairs: (__import__("numpy").full(1 << 16, 255, "uint8"), 19))
+    monkeypatch.setattr(collocations, "_bit_table", lambda hashes: (__import__("numpy").full(1 << 16, 255, "uint8"), 19))
     assert got(docs, rows, least=3) == expected(rows, 3)
 
 

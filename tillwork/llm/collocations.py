@@ -2,10 +2,11 @@
 
 1. Counting. A task splits its texts into words, numbers them and adds up what it has. Words and
    their counts are summed over all tasks. Of pairs of neighbours only 64-bit hashes with counts are
-   summed; the pairs that may reach the least count form a bit table of bounded size. On a
-   second read only runs of such pairs become phrases of two to four words, summed as strings: a
-   phrase with the least count has no rarer pair in it, and a collision in the bit table only lets
-   a phrase through that the exact count then removes.
+   summed; the pairs that may reach the least count form a bit table of bounded size. A second
+   read does the same for triples of such pairs, and on a third read only what both tables let
+   through becomes phrases of two to four words, summed as strings: a phrase with the least count has
+   no rarer pair or triple in it, and a collision only lets a phrase through that the exact count
+   then removes.
 2. Streams. The counts of all lengths together are sorted twice: by their words (prefix order) and
    by their words from the last to the first (suffix order). In prefix order the parts that begin a
    phrase come just before it, so one pass with a stack of open phrases, at most as deep as the
@@ -18,8 +19,8 @@
 A longer phrase that holds another one inside holds an extension of it by one word, which is at least
 as frequent: extensions by one word decide what is dropped.
 
-The bit table has 16 bits for each frequent pair, at most 2^29 bits (64 MB); beyond that it lets more
-through, and the counts decide as before. No word, pair or phrase is left out at any size.
+A bit table has 32 bits for each entry, at most 2^29 bits (64 MB); beyond that it lets more through,
+and the counts decide as before. No word or phrase is left out at any size.
 
 Defined results: a null text has no words, a null language is ``und``; texts count once for each row,
 repeated rows included; words and phrases never cross pieces or texts; a language without
@@ -85,16 +86,30 @@ def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), "uint64", len(words))
 
 
-def _pair_hashes(pairs: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Hashes of pairs of word numbers (first in the high 32 bits)."""
-    first, second = words[pairs >> 32], words[pairs & 0xFFFFFFFF]
-    return mix(mix(first) + second)
+def _levels(ids: np.ndarray, hashes: np.ndarray, tables: list[tuple[np.ndarray, int]], longest: int):
+    """For phrases of 2, 3, ... words that no table rules out: length, first place, number and hash of each.
 
-
-def _pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where a pair of neighbours begins, and the pairs."""
-    at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    return at, ids[at].astype("int64") << 32 | ids[at + 1]
+    A phrase is looked for where the phrases without its last and without its first word may be frequent.
+    """
+    follow, name_hash = np.where(ids > 0, 0, -1), None  # the number of the phrase that begins here
+    for length in range(2, longest + 1):
+        begin = np.flatnonzero((follow[:-1] >= 0) & (follow[1:] >= 0)) if length > 2 else np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        if not len(begin):
+            return
+        head = follow[begin].astype("int64") if length > 2 else ids[begin].astype("int64")
+        _, first, inverse, number = np.unique(head << 32 | ids[begin + length - 1], return_index=True, return_inverse=True, return_counts=True)
+        heads = name_hash[head[first]] if length > 2 else hashes[head[first]]
+        first = begin[first]
+        name_hash = mix(mix(heads) + hashes[ids[first + length - 1]])
+        if length - 2 < len(tables):
+            table, bits = tables[length - 2]
+            places = name_hash >> np.uint64(64 - bits)
+            known = table[(places >> np.uint64(3)).astype("int64")] >> (7 - (places & np.uint64(7)).astype("uint8")) & 1 > 0
+            inverse = np.where(known, np.cumsum(known) - 1, -1)[inverse]
+            first, number, name_hash = first[known], number[known], name_hash[known]
+        yield length, first, number, name_hash
+        follow = np.full(len(ids), -1, "int64")
+        follow[begin] = inverse
 
 
 def _streams(batches, use):
@@ -118,97 +133,82 @@ def _streams(batches, use):
             yield from use(lang, *words.take())
 
 
+def _blobs(hashes: np.ndarray, number: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Hashes by bucket; those that were met once come first, without a count."""
+    hashes = hashes.view("int64")
+    bucket = (hashes.view("uint64") % np.uint64(buckets)).astype("int64")
+    order = np.lexsort((number > 1, bucket))
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    rows = []
+    for part in np.split(order, cuts[1:]) if len(order) else []:
+        several = number[part]
+        rows.append((int(bucket[part[0]]), hashes[part].tobytes(), several[several > 1].tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "phrases", "counts"])
+
+
 def _first_counts(buckets: int):
+    """Words with counts as rows, pairs as blobs."""
     def use(lang, ids, words):
         counts = np.bincount(ids, minlength=len(words))
         yield pd.DataFrame({"lang": lang, "word": [w.decode("utf-8", "replace") for w in words[1:]], "number": counts[1:],
-                            "bucket": None, "pairs": None, "counts": None})
-        pairs, number = np.unique(_pairs(ids)[1], return_counts=True)
-        if len(pairs):
-            hashes = _pair_hashes(pairs, _word_hashes(words, lang)).view("int64")
-            bucket = (hashes.view("uint64") % np.uint64(buckets)).astype("int64")
-            order = np.lexsort((number > 1, bucket))  # in a bucket pairs that were met once come first, without a count
-            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            rows = []
-            for part in np.split(order, cuts[1:]):
-                several = number[part]
-                rows.append((int(bucket[part[0]]), hashes[part].tobytes(), several[several > 1].tobytes()))
-            yield pd.DataFrame(rows, columns=["bucket", "pairs", "counts"]).assign(lang=None, word=None, number=None)
-
-    return lambda batches: (f[["lang", "word", "number", "bucket", "pairs", "counts"]] for f in _streams(batches, use))
-
-
-def _frequent_pairs(least: int):
+                            "bucket": None, "phrases": None, "counts": None})
+        for _, _, number, hashes in _levels(ids, _word_hashes(words, lang), [], 2):
+            yield _blobs(hashes, number, buckets).assign(lang=None, word=None, number=None)
+
+    return lambda batches: (f[["lang", "word", "number", "bucket", "phrases", "counts"]] for f in _streams(batches, use))
+
+
+def _next_counts(shared, buckets: int):
+    """Triples of pairs that may be frequent, as blobs."""
+    def use(lang, ids, words):
+        for length, _, number, hashes in _levels(ids, _word_hashes(words, lang), shared.value, 3):
+            if length == 3:
+                yield _blobs(hashes, number, buckets)
+
+    return lambda batches: _streams(batches, use)
+
+
+def _frequent(least: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         hashes, numbers = [], []
-        for pairs, counts in zip(group["pairs"], group["counts"]):
-            h, several = np.frombuffer(pairs, "int64"), np.frombuffer(counts, "int64")
+        for phrases, counts in zip(group["phrases"], group["counts"]):
+            h, several = np.frombuffer(phrases, "int64"), np.frombuffer(counts, "int64")
             hashes.append(h)
             numbers.append(np.concatenate([np.ones(len(h) - len(several), "int64"), several]))
         known, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(inverse, weights=np.concatenate(numbers))
-        return pd.DataFrame({"pair": known[total >= least]})
+        return pd.DataFrame({"phrase": known[total >= least]})
     return run
 
 
-def _bit_table(pairs: DataFrame) -> tuple[np.ndarray, int]:
+def _bit_table(hashes: DataFrame) -> tuple[np.ndarray, int]:
     """A bit for the leading bits of every hash, and how many leading bits count."""
-    number = pairs.count()
-    bits = min(max((16 * number).bit_length(), SEGMENT), MOST_BITS)
+    bits = min(max((32 * hashes.count()).bit_length(), SEGMENT), MOST_BITS)
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        places = group["pair"].to_numpy().view("uint64") >> np.uint64(64 - bits)
+        places = group["place"].to_numpy()
         table = np.zeros(1 << SEGMENT, bool)
-        table[(places & np.uint64((1 << SEGMENT) - 1)).astype("int64")] = True
+        table[places & ((1 << SEGMENT) - 1)] = True
         return pd.DataFrame({"segment": [int(places[0]) >> SEGMENT], "bits": [np.packbits(table).tobytes()]})
 
-    segment = F.shiftrightunsigned("pair", 64 - bits + SEGMENT) if bits > SEGMENT else F.lit(0)
-    places = pairs.select(segment.alias("segment"), (F.shiftrightunsigned("pair", 64 - bits)).alias("place"), "pair")
-    rows = places.dropDuplicates(["place"]).groupBy("segment").applyInPandas(fill, "segment long, bits binary")
+    places = hashes.select(F.shiftrightunsigned("phrase", 64 - bits).alias("place")).distinct()
+    rows = places.groupBy(F.shiftright("place", SEGMENT)).applyInPandas(fill, "segment long, bits binary")
     table = np.zeros((1 << bits) // 8, "uint8")
     for at, part in rows.collect():  # at most 2^(29 - 19) rows of 64 KB
         table[at << SEGMENT - 3:(at + 1) << SEGMENT - 3] = np.frombuffer(part, "uint8")
     return table, bits
 
 
-def _phrase_counts(shared, bits: int):
+def _phrase_counts(shared):
     def use(lang, ids, words):
-        table = shared.value
-        at, pairs = _pairs(ids)
-        names, inverse, number = np.unique(pairs, return_inverse=True, return_counts=True)
-        places = _pair_hashes(names, _word_hashes(words, lang)) >> np.uint64(64 - bits)
-        known = table[(places >> np.uint64(3)).astype("int64")] >> (7 - (places & np.uint64(7)).astype("uint8")) & 1 > 0
         text = [w.decode("utf-8", "replace") for w in words]
-
-        def rows(begins: np.ndarray, length: int, counts: np.ndarray) -> pd.DataFrame:
-            return pd.DataFrame({"lang": lang, "words": [[text[i] for i in ids[b:b + length]] for b in begins.tolist()],
-                                 "number": counts})
-
-        follow = np.full(len(ids), -1, "int64")  # the number of the phrase that begins here
-        follow[at] = np.where(known[inverse], inverse, -1)
-        two = follow
-        kept = np.flatnonzero(known)
-        if len(kept):
-            first = np.full(len(names), -1, "int64")
-            first[inverse[::-1]] = at[::-1]
-            yield rows(first[kept], 2, number[kept])
-        for length in range(3, LONGEST + 1):
-            begin = np.flatnonzero((follow[:-1] >= 0) & (_ahead(two, length - 2)[:-1] >= 0))
-            if not len(begin):
-                break
-            key = follow[begin] << 32 | ids[begin + length - 1]
-            _, first, inverse, number = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            yield rows(begin[first], length, number)
-            follow = np.full(len(ids), -1, "int64")
-            follow[begin] = inverse
+        for length, first, number, _ in _levels(ids, _word_hashes(words, lang), shared.value, LONGEST):
+            yield pd.DataFrame({"lang": lang, "phrase": [" ".join([text[i] for i in ids[b:b + length].tolist()]) for b in first.tolist()],
+                                "number": number})
 
     return lambda batches: _streams(batches, use)
 
 
-def _ahead(values: np.ndarray, by: int) -> np.ndarray:
-    return np.concatenate([values[by:], np.full(by, -1, values.dtype)])
-
-
 def phrase_counts(docs: DataFrame, least: int, text_column: str = "text", lang_column: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, words, a: phrases of one to four words with the least count; lang, n: all words)."""
     spark = docs.sparkSession
@@ -216,16 +216,19 @@ def phrase_counts(docs: DataFrame, least: int, text_column: str = "text", lang_c
                         F.col(text_column).cast("string").alias("text")).where("text != ''")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, size >> 24)  # a few million pairs each
-    partial = written(texts.mapInPandas(_first_counts(buckets), "lang string, word string, number long, bucket long, pairs binary, counts binary"),
-                      "collocation-partials")
+    blobs = "bucket long, phrases binary, counts binary"
+    partial = written(texts.mapInPandas(_first_counts(buckets), f"lang string, word string, number long, {blobs}"), "collocation-partials")
     words = written(partial.where("word is not null").groupBy("lang", "word").agg(F.sum("number").alias("a")), "collocation-words")
-    pairs = written(partial.where("pairs is not null").groupBy("bucket").applyInPandas(_frequent_pairs(least), "pair long"),
-                    "collocation-pairs")
-    table, bits = _bit_table(pairs)
-    shared = spark.sparkContext.broadcast(table)
-    phrases = texts.mapInPandas(_phrase_counts(shared, bits), "lang string, words array<string>, number long")
-    counted = (phrases.groupBy("lang", "words").agg(F.sum("number").alias("a")).where(F.col("a") >= least)
-               .unionByName(words.where(F.col("a") >= least).select("lang", F.array("word").alias("words"), "a")))
+
+    def table(counts: DataFrame, name: str) -> tuple[np.ndarray, int]:
+        return _bit_table(written(counts.groupBy("bucket").applyInPandas(_frequent(least), "phrase long"), name))
+
+    tables = [table(partial.where("phrases is not null").select("bucket", "phrases", "counts"), "collocation-pairs")]
+    tables.append(table(texts.mapInPandas(_next_counts(spark.sparkContext.broadcast(tables), buckets), blobs), "collocation-triples"))
+    phrases = texts.mapInPandas(_phrase_counts(spark.sparkContext.broadcast(tables)), "lang string, phrase string, number long")
+    counted = (phrases.groupBy("lang", "phrase").agg(F.sum("number").alias("a"))
+               .unionByName(words.select("lang", F.col("word").alias("phrase"), "a")).where(F.col("a") >= least)
+               .select("lang", F.split("phrase", " ").alias("words"), "a"))
     return written(counted, "collocation-counts"), words.groupBy("lang").agg(F.sum("a").alias("n"))
 
 
