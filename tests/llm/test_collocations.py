@@ -101,6 +101,7 @@ def test_first_rows_only_and_large_products(spark, docs):
 
 
 def test_empty_and_extra_columns(spark, docs):
+    assert got(docs, [(1, "ka lo. mi", "de")], least=3) == []
     assert got(docs, [], least=1) == []
     table = docs([(1, "ka lo ka lo", "de")] * 2).selectExpr("*", "1 as a", "2 as n", "'x' as words", "0 as part", "0 as score")
     assert [tuple(r) for r in collocations.collocations(table, least=2).collect()] == expected([(1, "ka lo ka lo", "de")] * 2, 2)

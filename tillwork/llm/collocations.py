@@ -107,6 +107,8 @@ def _levels(ids: np.ndarray, hashes: np.ndarray, tables: list[tuple[np.ndarray,
             known = table[(places >> np.uint64(3)).astype("int64")] >> (7 - (places & np.uint64(7)).astype("uint8")) & 1 > 0
             inverse = np.where(known, np.cumsum(known) - 1, -1)[inverse]
             first, number, name_hash = first[known], number[known], name_hash[known]
+        if not len(first):
+            return
         yield length, first, number, name_hash
         follow = np.full(len(ids), -1, "int64")
         follow[begin] = inverse

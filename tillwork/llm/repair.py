@@ -319,7 +319,8 @@ def _follow(batches):
                 held["lines"] = True
             held["audit"].append(audit)
             held["state"], held["closes"] = int(row.states[held["state"]]), row.closes
-        yield pd.DataFrame(out, columns=["name", *RESULTS])
+        if out:
+            yield pd.DataFrame(out, columns=["name", *RESULTS])
     if held:
         yield pd.DataFrame([close()], columns=["name", *RESULTS])
 
