@@ -142,6 +142,8 @@ FROM x GROUP BY w, traffic_source""",
     "s4_revenue_dashboard": f"WITH {s4(HOURS, HALF, 4)} SELECT * FROM s4",
     "s1_order_anomaly_stream": f"WITH {S1} {closed('s1', '2 minutes', 'unique_buyers')}",
     "s3_inventory_snapshot_stream": f"WITH {S3} SELECT * FROM s3",
+    "s3_inventory_active_stream": f"""WITH {S3} SELECT s3.* FROM s3 JOIN l USING (product_id, category, brand, distribution_center)
+WHERE last_at >= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '1 hour' - INTERVAL '12 hours'""",
     "s4_revenue_dashboard_stream": f"WITH {s4(HOURS, HALF, 4)} {closed('s4', '3 minutes', 'unique_buyers')}",
     "str15_outlier_orders": f"""WITH {ORDERS},
 h AS (SELECT avg(CAST(price AS DOUBLE)) + 3 * stddev_samp(CAST(price AS DOUBLE)) AS top FROM o)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillwork.plans import basics, explore, features, models, quality, reports
 from tillwork.session import prepare
 from tillwork.sources import StarShop, streams
-from tillwork.streaming import jobs, rollups, sinks
+from tillwork.streaming import jobs, keyed, rollups, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,12 +152,12 @@ def _funnel_stream(s: StarShop) -> DataFrame:
     return shown(_appended(s, "traffic_funnel", result))
 
 
-def _stock_stream(s: StarShop) -> DataFrame:
-    state = jobs.inventory_state(streams.star_inventory_messages(_replayed(s)))
+def _stock_stream(s: StarShop, silence: str | None = None, late: str = "1 day") -> DataFrame:
+    changes = keyed.inventory_changes(streams.star_inventory_messages(_replayed(s)), silence, late)
     path = sinks.catch_up(
-        lambda out, kept: sinks.snapshots(state, out, kept, alerts=f"{out}_alerts", every=None),
+        lambda out, kept: sinks.keyed_snapshots(changes, out, kept, alerts=f"{out}_alerts", every=None),
         s.spark, "inventory_alert")
-    return shown(streams.latest_snapshot(s.spark, path).drop("batch_id"))
+    return shown(streams.latest_snapshot(s.spark, path))
 
 
 def _revenue_stream(s: StarShop) -> DataFrame:
@@ -176,6 +176,7 @@ def _streams() -> None:
     on_shop("s1_order_anomaly_stream", _orders_stream)
     on_shop("s2_traffic_funnel_stream", _funnel_stream)
     on_shop("s3_inventory_snapshot_stream", _stock_stream)
+    on_shop("s3_inventory_active_stream", lambda s: _stock_stream(s, "12 hours", "1 hour"))
     on_shop("s4_revenue_dashboard_stream", _revenue_stream)
 
     def outliers(s: StarShop) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import as_money, hundredths, to_iso_instant
+from tillwork.streaming.store import newest_state
 
 # --- Fixed values: the messages' fields, and the reader's limits ---------------------
 ORDER_FIELDS = (
@@ -47,10 +48,10 @@ def kafka_options(servers: str, topic: str, max_offsets: int | None = None,
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, fields: str,
-               max_offsets: int | None = None) -> DataFrame:
+               max_offsets: int | None = None, accept_loss: bool = False) -> DataFrame:
     """A Kafka topic of JSON messages as columns (needs the Kafka connector package)."""
     raw = (spark.readStream.format("kafka")
-           .options(**kafka_options(servers, topic, max_offsets)).load())
+           .options(**kafka_options(servers, topic, max_offsets, accept_loss)).load())
     return decode_json(raw, fields)
 
 
@@ -83,10 +84,18 @@ def read_back(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete state among the snapshots of a stream (``batch_id=`` folders)."""
-    snapshots = spark.read.option("mergeSchema", True).parquet(path)
-    newest = snapshots.agg(F.max("batch_id").alias("batch_id")).scalar()
-    return snapshots.filter(F.col("batch_id") == newest)
+    """The newest complete state that a stream keeps below ``path``.
+
+    A store is read through its pointer; of a history (``batch_id=`` folders) only the folder names are
+    listed, and the newest folder is read.
+    """
+    state = newest_state(spark, path)
+    if state is not None:
+        return state
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)]
+    newest = max(int(n.partition("=")[2]) for n in names if n.startswith("batch_id="))
+    return spark.read.parquet(f"{path}/batch_id={newest}").withColumn("batch_id", F.lit(newest))
 
 
 # --- the star schema's events table, seen as the four streams --------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwork.sources import streams
-from tillwork.streaming import jobs, sinks
+from tillwork.streaming import jobs, keyed, sinks
 
 # --- Fixed values
 TOPICS = {
@@ -51,10 +51,11 @@ def kafka(spark: SparkSession, servers: str, topics: dict[str, str] | None = Non
 
 
 def starters(source: Source, base: str, checkpoints: str, every: str | None = sinks.TABLE_TRIGGER,
-             consoles: bool = False, bases: bool = False) -> list[Callable[[], StreamingQuery]]:
+             consoles: bool = False, bases: bool = False, silence: str | None = "30 days") -> list[Callable[[], StreamingQuery]]:
     """One query per job, and optionally one more that prints it.
 
-    ``bases`` adds the tables that roll-ups over many windows need.
+    ``bases`` adds the tables that roll-ups over many windows need. Products that are silent for
+    ``silence`` leave the inventory.
 
     Windowed tables are partitioned by the day of the window, so readers prune by date.
     """
@@ -67,12 +68,12 @@ def starters(source: Source, base: str, checkpoints: str, every: str | None = si
             begin.append(lambda: sinks.console(result, f"{checkpoints}/{name}_console"))
         return begin
 
-    state = jobs.inventory_state(source("inventory"))
-    begin = [lambda: sinks.snapshots(state, f"{base}/inventory_alert", f"{checkpoints}/inventory_alert",
-                                     f"{base}/inventory_alert_feed", every)]
+    changes = keyed.inventory_changes(source("inventory"), silence)
+    begin = [lambda: sinks.keyed_snapshots(changes, f"{base}/inventory_alert", f"{checkpoints}/inventory_alert",
+                                           f"{base}/inventory_alert_feed", every)]
     if consoles:
-        begin.append(lambda: sinks.console(jobs.inventory_alerts(state),
-                                           f"{checkpoints}/inventory_console", mode="complete"))
+        begin.append(lambda: sinks.console(jobs.inventory_alerts(changes),
+                                           f"{checkpoints}/inventory_console", mode="update"))
     for name in [*WINDOWED, *(BASES if bases else ())]:
         begin.extend(windowed(name))
     return begin

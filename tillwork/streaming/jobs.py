@@ -150,13 +150,18 @@ def visitor_sketches(messages: DataFrame, length: str = "1 minute",
 # --- inventory --------------------------------------------------------------------------
 
 STATE_KEYS = ["product_id", "category", "brand", "distribution_center"]
+#: Column of the messages to its name in the state.
+STATE_VALUES = {"product_name": "product_name", "available_quantity": "available_quantity",
+                "stock_quantity": "stock_quantity", "sold_quantity": "sold_quantity",
+                "product_retail_price": "retail_price", "cost": "cost",
+                "is_low_stock": "is_low_stock", "is_out_of_stock": "is_out_of_stock"}
 
 
 def inventory_state(messages: DataFrame) -> DataFrame:
     """The newest known values of each product in its center, and its alert tier.
 
-    Newest means by event time, not by arrival; a null never replaces a value. The state is as
-    large as the number of keys: keep it in RocksDB (see the session settings).
+    Newest means by event time, not by arrival; a null never replaces a value. On a stream the state
+    never ends; :func:`tillwork.streaming.keyed.inventory_changes` lets silent keys go.
     """
     timed = with_event_time(messages, "updated_at", None)
     moment = F.struct("event_time", "inventory_item_id")
@@ -164,14 +169,15 @@ def inventory_state(messages: DataFrame) -> DataFrame:
     def newest(column: str) -> Column:
         return F.max_by(column, F.when(F.col(column).isNotNull(), moment))
 
-    named = {"product_name": "product_name", "available_quantity": "available_quantity",
-             "stock_quantity": "stock_quantity", "sold_quantity": "sold_quantity",
-             "product_retail_price": "retail_price", "cost": "cost",
-             "is_low_stock": "is_low_stock", "is_out_of_stock": "is_out_of_stock"}
     state = timed.groupBy(*STATE_KEYS).agg(
-        *(newest(column).alias(name) for column, name in named.items()),
+        *(newest(column).alias(name) for column, name in STATE_VALUES.items()),
         F.max("event_time").alias("last_updated"),
         F.count("inventory_item_id").alias("update_count"))
+    return described_state(state)
+
+
+def described_state(state: DataFrame) -> DataFrame:
+    """Alert tier, lost revenue and lineage of each key's values."""
     available = F.col("available_quantity")
     return state.select(
         "*", stock_tier(available).alias("alert_tier"),

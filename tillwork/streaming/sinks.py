@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillwork.functions.columns import ALERT_TIERS
 from tillwork.session import shared_folder
-from tillwork.streaming.jobs import inventory_alerts
+from tillwork.streaming.jobs import STATE_KEYS, inventory_alerts
+from tillwork.streaming.store import GONE, SnapshotStore
 
 # --- Fixed values
 TABLE_TRIGGER = "30 seconds"
@@ -46,7 +49,8 @@ def snapshots(state: DataFrame, path: str, checkpoint: str, alerts: str | None =
     """Write the complete state of each batch to its own folder, and the alerts beside it.
 
     A repeated batch overwrites its own folder, so a restart leaves no duplicate. Table and
-    alerts come from one cached batch: the state is computed once.
+    alerts come from one cached batch: the state is computed once. The history is kept whole: for states
+    that are small and wanted in every version. :func:`keyed_snapshots` keeps the newest one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         if alerts is None:
@@ -64,6 +68,29 @@ def snapshots(state: DataFrame, path: str, checkpoint: str, alerts: str | None =
     return _triggered(writer, every).start()
 
 
+def keyed_snapshots(changes: DataFrame, path: str, checkpoint: str, alerts: str | None = None,
+                    every: str | None = TABLE_TRIGGER, **options) -> StreamingQuery:
+    """Take the changed keys of each batch into the store at ``path``, and those on alert into ``alerts``.
+
+    ``options`` go to :class:`SnapshotStore` (buckets, compact_every, keep). A key leaves the alerts
+    when it recovers, and both stores when it is gone.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            SnapshotStore(spark, path, STATE_KEYS, **options).apply(batch, batch_id)
+            if alerts is not None:
+                off = ~F.coalesce(F.col("alert_tier").isin(ALERT_TIERS), F.lit(False))
+                SnapshotStore(spark, alerts, STATE_KEYS, **options).apply(
+                    batch.withColumn(GONE, F.col(GONE) | off), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, every).start()
+
+
 def run_until_stopped(spark: SparkSession,
                       starters: Sequence[Callable[[], StreamingQuery]]) -> None:
     """Start every query and wait; when one ends or fails, stop them all."""
