@@ -10,7 +10,7 @@ def rows(df, *columns):
 def test_quoted_multiline_fields(shop):
     ann = shop.table("users").filter("id = 1").first()
     assert ann["last_name"] == 'O"Neil, Jr' and ann["street_address"] == "1 Road\nFlat 2"
-    assert shop.users("full_name").first()[0] == 'Ann O"Neil, Jr'
+    assert shop.users("user_id", "full_name").filter("user_id = 1").first()[1] == 'Ann O"Neil, Jr'
 
 
 def test_times_are_cleaned(shop):

@@ -11,6 +11,7 @@ from tillwork.functions.columns import (
     COMPLETE, RETURNED, age_band, clean_timestamp, days_between, flag, margin_pct, profit, rounded)
 from tillwork.operators.distribution import column_quantiles
 from tillwork.session import shared_folder
+from tillwork.sources.quoted_csv import read_quoted_csv
 from tillwork.sources.shop import Shop
 from tillwork.sources.streams import EVENT_FIELDS, decode_json, star_web_events
 
@@ -20,10 +21,8 @@ def quoted_csv(shop: Shop) -> DataFrame:
     path = f"{shared_folder(shop.spark)}/csv/users-{uuid.uuid4().hex}"
     note = F.concat(F.lit('"'), F.col("full_name"), F.lit('", of\n'), F.col("country"))
     people = shop.users("user_id", "full_name", "country").select("user_id", note.alias("note"))
-    options = {"header": True, "escape": '"', "quote": '"'}
-    people.write.options(**options).csv(path)
-    return (shop.spark.read.schema("user_id long, note string")
-            .options(**options, multiLine=True, enforceSchema=False).csv(path))
+    people.write.options(header=True, escape='"', quote='"').csv(path)
+    return read_quoted_csv(shop.spark, path, "user_id long, note string")
 
 
 def sql_views(shop: Shop) -> DataFrame:

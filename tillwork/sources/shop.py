@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import as_money, clean_timestamp, hundredths, month_key
+from tillwork.sources.quoted_csv import read_quoted_csv
 
 
 class Shop(ABC):
@@ -332,12 +333,9 @@ class CsvShop(Shop):
 
     def _read(self, name: str) -> DataFrame:
         path = f"{self.folder}/{self.pattern.format(name=name)}"
-        reader = self.spark.read.schema(self.SCHEMAS[name])
         if self.parquet:
-            return reader.parquet(path)
-        # enforceSchema=false checks the header against the declared columns.
-        return reader.options(header=True, multiLine=True, escape='"',
-                              enforceSchema=False).csv(path)
+            return self.spark.read.schema(self.SCHEMAS[name]).parquet(path)
+        return read_quoted_csv(self.spark, path, self.SCHEMAS[name])
 
     def to_parquet(self, target: str) -> CsvShop:
         """Copy every table to Parquet once and return a shop that reads the copy."""
