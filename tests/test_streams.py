@@ -243,6 +243,30 @@ def test_exact_funnel_keeps_events_without_source(spark):
     assert got[0] == got[1] == [("-", 1, 1, 1, 1), ("X", 2, 1, 1, 1)]
 
 
+def test_exact_funnel_copies_no_event_per_distinct_count(spark, star):
+    counted = jobs.traffic_funnel(streams.star_web_events(star.table("events")), "1 hour", None, distinct="exact")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and plan.count("Aggregate") == 2 and plan.count("Relation") == 1
+
+
+def test_exact_funnel_by_hand(spark):
+    import random
+    r = random.Random(6)
+    data = [(i if r.random() < 0.95 else None, r.choice([1, 2, 3, None]), r.choice(["a", "b", "c", None]),
+             r.choice([*jobs.FUNNEL_STAGES, "other", None]), r.choice(["X", "Y", None]), f"2024-01-01T0{r.randrange(3)}:00:01.000Z") for i in range(400)]
+    df = spark.createDataFrame(data, "event_id long, user_id long, session_id string, event_type string, traffic_source string, created_at string")
+    got = {(x["window_start"].hour, x["traffic_source"]): x for x in jobs.traffic_funnel(df, "1 hour", None, distinct="exact").collect()}
+    for hour in range(3):
+        for source in ("X", "Y", None):
+            mine, row = [d for d in data if d[4] == source and f"T0{hour}" in d[5]], got.pop((hour, source))
+            assert row["total_events"] == sum(d[0] is not None for d in mine)
+            assert row["total_sessions"] == len({d[2] for d in mine} - {None})
+            assert row["unique_users"] == len({d[1] for d in mine} - {None})
+            for stage in jobs.FUNNEL_STAGES:
+                assert row[f"stage_{stage}"] == len({d[2] for d in mine if d[3] == stage} - {None})
+    assert not got
+
+
 def test_streams_read_a_table_of_several_files(spark, tmp_path):
     from tests.conftest import SMALL
     from tillwork.registry import QUERIES

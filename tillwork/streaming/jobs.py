@@ -94,9 +94,7 @@ def traffic_funnel(messages: DataFrame, length: str = "2 minutes", slide: str |
                    late: str = "3 minutes", distinct: str = "approx") -> DataFrame:
     """Sessions per funnel stage, conversion and cart abandonment by source and window.
 
-    A session counts for the stages it has an event of. With ``distinct="exact"`` (tables
-    only) events are reduced to one row per session first, instead of one copy of every event
-    per distinct count.
+    A session counts for the stages it has an event of. ``distinct="exact"`` is for tables only.
     """
     timed = with_event_time(messages, "created_at", late)
     stages = [f"stage_{s}" for s in FUNNEL_STAGES]
@@ -109,19 +107,27 @@ def traffic_funnel(messages: DataFrame, length: str = "2 minutes", slide: str |
               for s in FUNNEL_STAGES),
             F.approx_count_distinct("user_id").alias("unique_users"))
     else:
-        per_session = timed.groupBy(_window(length, slide), "traffic_source", "session_id",
-                                    "user_id").agg(
-            F.count("event_id").alias("events"),
-            *(F.max(flag(kind == s)).alias(f"stage_{s}") for s in FUNNEL_STAGES))
-        session, none = F.col("session_id"), F.lit(None)
-        counted = per_session.groupBy("w", "traffic_source").agg(
-            F.sum("events").alias("total_events"), F.countDistinct(session).alias("total_sessions"),
-            *(F.countDistinct(F.when(F.col(c) == 1, session).otherwise(none)).alias(c) for c in stages),
-            F.countDistinct("user_id").alias("unique_users"))
+        counted = _exact_funnel(timed, _window(length, slide))
     return _labelled(counted, "traffic_funnel", "traffic_source", "total_events", "total_sessions",
                      *stages, "unique_users", *_funnel_rates())
 
 
+def _exact_funnel(timed: DataFrame, window: Column) -> DataFrame:
+    """Exact counts with one large shuffle: a row per session, with a bit for each stage it
+    reached, and a row per user. What is left are plain counts and sums."""
+    stage = F.array_position(F.array(*map(F.lit, FUNNEL_STAGES)), F.col("event_type")).cast("int")
+    seen = timed.select(window, "traffic_source", "event_id", "session_id", "user_id", stage.alias("stage")).selectExpr(
+        "w", "traffic_source", """stack(2,
+            true, CAST(session_id AS STRING), CAST(event_id IS NOT NULL AS INT), CASE WHEN stage > 0 THEN shiftleft(1, stage - 1) ELSE 0 END,
+            false, CAST(user_id AS STRING), 0, 0) AS (is_session, id, events, bits)""")
+    each = seen.groupBy("w", "traffic_source", "is_session", "id").agg(F.sum("events").alias("events"), F.bit_or("bits").alias("bits"))
+    known, session = F.col("id").isNotNull(), F.col("is_session")
+    return each.groupBy("w", "traffic_source").agg(
+        F.sum("events").alias("total_events"), F.count_if(session & known).alias("total_sessions"),
+        *(F.count_if(session & known & (F.col("bits").bitwiseAND(1 << i) > 0)).alias(f"stage_{s}") for i, s in enumerate(FUNNEL_STAGES)),
+        F.count_if(~session & known).alias("unique_users"))
+
+
 def funnel_reached(messages: DataFrame, length: str) -> DataFrame:
     """Sessions that reached each stage or a later one, by source and tumbling window."""
     timed = with_event_time(messages, "created_at", None)
