@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.columns import RETURNED, discount_rate, flag, is_discounted
 from tillwork.operators.distribution import cap_outliers
-from tillwork.session import written
+from tillwork.session import written, written_evenly
 from tillwork.sources.shop import Shop
 
 # --- Fixed values -------------------------------------------------------------------
@@ -89,7 +89,7 @@ def vectors(df: DataFrame, labels: Sequence[str], numbers: Sequence[str]) -> Dat
 
     The input is written first: labels, encoder and scaler are fitted in passes of their own.
     """
-    table = written(df, "vector-input")
+    table = written_evenly(df, "vector-input", *([k for k in KEYS if k in df.columns] or df.columns))
     return Pipeline(stages=vector_stages(labels, numbers)).fit(table).transform(table)
 
 

@@ -20,7 +20,7 @@ from tillwork.functions.columns import RETURNED, discount_rate, flag, ratio
 from tillwork.operators.distribution import in_share
 from tillwork.operators.ranking import with_running_sums
 from tillwork.plans.features import KEYS, REQUIRED, item_master, rfm_features, rfm_stages, vector_stages
-from tillwork.session import written
+from tillwork.session import written, written_evenly
 from tillwork.sources.shop import Shop
 
 # --- Fixed values -------------------------------------------------------------------
@@ -63,7 +63,7 @@ def _training_table(shop: Shop, name: str) -> DataFrame:
     table = item_master(shop).dropna(subset=REQUIRED).withColumns({
         "is_returned": flag(F.col("order_status") == RETURNED).cast("double"),
         "discount_rate": discount_rate(retail, sale), "price_gap": retail - cost})
-    return written(table.select(*KEYS, *REQUIRED, "is_returned", "discount_rate", "price_gap"), name)
+    return written_evenly(table.select(*KEYS, *REQUIRED, "is_returned", "discount_rate", "price_gap"), name, *KEYS)
 
 
 def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) -> Fitted:
@@ -103,7 +103,7 @@ def roc_points(scored: DataFrame, label: str = "is_returned", score: str = "scor
 def cluster_customers(shop: Shop, k: int = CLUSTERS) -> Fitted:
     """K-means on standardised recency, frequency and spend; the metric is the silhouette."""
     orders = shop.items("order_id", "user_id", "sale_price", "ordered_at")
-    table = written(rfm_features(orders, cap=False), "rfm")
+    table = written_evenly(rfm_features(orders, cap=False), "rfm", "user_id")
     model = Pipeline(stages=[*rfm_stages(), KMeans(
         featuresCol="features", predictionCol="cluster", k=k, seed=SEED)]).fit(table)
     placed = model.transform(table)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,18 +57,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-_SCOPES: list[list[str]] = []
+# The open scopes of this thread or task, outermost first: threads do not see each other's.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[list[str]]:
-    """Remove at the end what :func:`written` wrote inside; consume or store results before that."""
+    """Remove at the end what :func:`written` wrote inside; consume or store results before that.
+
+    Scopes may be nested, and each thread has its own.
+    """
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield paths
     finally:
-        _SCOPES.remove(paths)
+        _SCOPES.reset(token)
         for name in paths:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -75,9 +80,14 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
 
 def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write what ``build`` returns, and remove the tables that it wrote on the way."""
+    outer = _SCOPES.get()
     with scratch(spark) as paths:
-        result = written(build(), name)
-        paths.pop()
+        built = build()
+        token = _SCOPES.set(outer)  # the result belongs to the scopes around this one
+        try:
+            result = written(built, name)
+        finally:
+            _SCOPES.reset(token)
     return result
 
 
@@ -87,14 +97,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     Used instead of a checkpoint where the result is scanned several times, a few
     columns at a time.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
-    for scope in _SCOPES:
+    for scope in _SCOPES.get():
         scope.append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_evenly(df: DataFrame, name: str, *keys: str, rows_per_file: int = 250_000) -> DataFrame:
+    """:func:`written`, dealt by the hash of ``keys`` into at least as many files as tasks run at once.
+
+    For work that costs by the row, not by the byte, such as fitting a model: the size-based merge of
+    small partitions, and files of one row group, would leave it to a single task. Rows are sorted within
+    their file, so that a repeated run finds the same files.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = df.repartition(parts, *keys).sortWithinPartitions(*df.columns)
+    return written(dealt, name, rows_per_file)
