@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "explore", "quality", "streams", "features", "basics")
+MODULES = ("reports", "explore", "quality", "streams", "features", "basics", "metrics")
 
 
 def all_sql() -> dict[str, str]:

@@ -124,6 +124,16 @@ STAGE_ROWS = " UNION ALL ".join(
     for i, s in enumerate(STAGES))
 
 
+def on_time(late: str, length: str) -> str:
+    """Events in the steps they arrive in, without those whose window had closed. A batch drops by the watermark that
+    the batch before it began with: what was known two steps earlier."""
+    return f"""arrived AS (SELECT *, least(4, (day(ts) - 1) // 6 + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END) AS step FROM events),
+marks AS (SELECT s.step, max(date_trunc('millisecond', a.ts)) - INTERVAL '{late}' AS mark
+  FROM (SELECT DISTINCT step FROM arrived) s JOIN arrived a ON a.step <= s.step - 2 GROUP BY 1),
+kept AS (SELECT a.* FROM arrived a LEFT JOIN marks USING (step)
+  WHERE mark IS NULL OR time_bucket(INTERVAL '{length}', date_trunc('millisecond', ts)) + INTERVAL '{length}' > mark)"""
+
+
 def d8(x: str) -> str:
     return f"sum(CAST({x} AS DECIMAL(28,8)))"
 
@@ -142,6 +152,10 @@ FROM x GROUP BY w, traffic_source""",
     "s4_revenue_dashboard": f"WITH {s4(HOURS, HALF, 4)} SELECT * FROM s4",
     "s1_order_anomaly_stream": f"WITH {S1} {closed('s1', '2 minutes', 'unique_buyers')}",
     "s3_inventory_snapshot_stream": f"WITH {S3} SELECT * FROM s3",
+    "str02_late_orders_stream": f"""WITH {on_time('2 minutes', HOUR)}, {S1.replace('FROM events', 'FROM kept')}
+{closed('s1', '2 minutes', 'unique_buyers')}""",
+    "s2_exact_funnel_stream": f"""WITH {on_time('3 minutes', HOURS)}, {s2(HOURS, None, 1).replace('FROM events', 'FROM kept')}
+{closed('s2', '3 minutes', 'stream_name').replace(' EXCLUDE (stream_name)', '')}""",
     "s3_inventory_active_stream": f"""WITH {S3} SELECT s3.* FROM s3 JOIN l USING (product_id, category, brand, distribution_center)
 WHERE last_at >= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '1 hour' - INTERVAL '12 hours'""",
     "s4_revenue_dashboard_stream": f"WITH {s4(HOURS, HALF, 4)} {closed('s4', '3 minutes', 'unique_buyers')}",

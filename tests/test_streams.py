@@ -267,6 +267,34 @@ def test_exact_funnel_by_hand(spark):
     assert not got
 
 
+def test_replay_in_order_decides_what_is_late(spark, tmp_path):
+    """A batch drops what had closed by the watermark that the batch before it began with."""
+    rows = [(i, "Complete", 1, 10.0, False, iso(s), step) for i, (s, step) in enumerate(
+        [(5, 0), (4000, 0), (10, 1), (8000, 1), (20, 2), (4001, 2), (4002, 3), (20000, 3), (8001, 4), (20001, 5)])]
+    table = spark.createDataFrame(rows, "order_id long, status string, num_of_item int, sale_price double, is_anomaly boolean, created_at string, step int")
+    table = table.withColumn("user_id", F.col("order_id"))
+    stream = streams.replay_in_order(table, F.col("step"), 6, str(tmp_path / "steps"))
+    out = sinks.append_table(jobs.order_anomaly(stream, "1 hour"), str(tmp_path / "o"), str(tmp_path / "c"), every=None)
+    out.awaitTermination()
+    batches = [p["numInputRows"] for p in out.recentProgress if p["numInputRows"]]
+    assert batches == [2, 2, 2, 2, 1, 1]
+    got = keyed(spark.read.parquet(str(tmp_path / "o")).select(F.hour("window_start").alias("h"), "total_orders"), "h", "total_orders")
+    # (20, 2) comes when the watermark of batch 1, 4000 s less two minutes, is known; (4002, 3) after 8000 s.
+    assert got == [(0, 2), (1, 2), (2, 2)]
+
+
+def test_exact_funnel_on_a_stream(spark, tmp_path):
+    topic = Topic(spark, tmp_path / "in", streams.EVENT_FIELDS)
+    topic.send(event(1, 10, "home", "a"), event(2, 20, "cart", "a"), event(3, 25, "cart", "b", user=2))
+    topic.send(event(4, 29, "purchase", "b", user=2), event(5, 70, "home", "a"), event(6, 15, "home", None, user=None))
+    topic.send(event(7, 9000, "home", "c"))
+    topic.send(event(8, 9001, "home", "d"))
+    got = run(jobs.traffic_funnel(topic.stream(), "1 minute", None, distinct="exact"), tmp_path)
+    want = jobs.traffic_funnel(topic.table(), "1 minute", None, distinct="exact").where(F.col("window_end") < F.lit("2024-01-01 01:00:00"))
+    columns = [c for c in want.columns if c != "processed_at"]
+    assert keyed(got, *columns) == keyed(want, *columns) and got.count() == 2
+
+
 def test_streams_read_a_table_of_several_files(spark, tmp_path):
     from tests.conftest import SMALL
     from tillwork.registry import QUERIES

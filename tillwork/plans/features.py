@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +94,19 @@ def vectors(df: DataFrame, labels: Sequence[str], numbers: Sequence[str]) -> Dat
     return Pipeline(stages=vector_stages(labels, numbers)).fit(table).transform(table)
 
 
+def slot_names(table: DataFrame, column: str = "features_raw") -> list[str]:
+    """The names of a vector column's slots, as the stages that built it recorded them."""
+    kinds = table.schema[column].metadata["ml_attr"]["attrs"].values()
+    return [a["name"] for a in sorted((a for kind in kinds for a in kind), key=lambda a: a["idx"])]
+
+
+def explained(table: DataFrame, *keys: str, column: str = "features_scaled") -> DataFrame:
+    """Columns keys, slot, value: a row for each slot of a vector that is not zero, by its name."""
+    names = F.array(*map(F.lit, slot_names(table)))
+    slots = F.filter(F.arrays_zip(names.alias("slot"), vector_to_array(column).alias("value")), lambda x: x["value"] != 0)
+    return table.select(*keys, F.inline(slots).alias("slot", "value"))
+
+
 def rfm_features(features: DataFrame, cap: bool = True) -> DataFrame:
     """Days since the last order (seen from the newest one), orders, and spend per user."""
     newest = features.agg(F.max("ordered_at")).scalar()

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.operators import metrics
 from tillwork.plans import basics, explore, features, models, quality, reports
 from tillwork.session import prepare
 from tillwork.sources import StarShop, streams
@@ -152,6 +153,23 @@ def _funnel_stream(s: StarShop) -> DataFrame:
     return shown(_appended(s, "traffic_funnel", result))
 
 
+def _in_five_steps(s: StarShop) -> DataFrame:
+    """Events arrive in steps of six days; every tenth arrives two steps late."""
+    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    step = F.least(F.lit(4), F.floor((F.dayofmonth("ts") - 1) / 6).cast("int") + late)
+    return streams.replay_in_order(s.table("events"), step, 5, sinks.new_stream_folder(s.spark, "steps"))
+
+
+def _late_orders_stream(s: StarShop) -> DataFrame:
+    result = jobs.order_anomaly(streams.star_order_messages(_in_five_steps(s)), HOUR)
+    return shown(_appended(s, "late_orders", result)).drop("unique_buyers")
+
+
+def _exact_funnel_stream(s: StarShop) -> DataFrame:
+    result = jobs.traffic_funnel(streams.star_web_events(_in_five_steps(s)), HOURS, None, distinct="exact")
+    return shown(_appended(s, "exact_funnel", result))
+
+
 def _stock_stream(s: StarShop, silence: str | None = None, late: str = "1 day") -> DataFrame:
     changes = keyed.inventory_changes(streams.star_inventory_messages(_replayed(s)), silence, late)
     path = sinks.catch_up(
@@ -176,6 +194,8 @@ def _streams() -> None:
     on_shop("s1_order_anomaly_stream", _orders_stream)
     on_shop("s2_traffic_funnel_stream", _funnel_stream)
     on_shop("s3_inventory_snapshot_stream", _stock_stream)
+    on_shop("str02_late_orders_stream", _late_orders_stream)
+    on_shop("s2_exact_funnel_stream", _exact_funnel_stream)
     on_shop("s3_inventory_active_stream", lambda s: _stock_stream(s, "12 hours", "1 hour"))
     on_shop("s4_revenue_dashboard_stream", _revenue_stream)
 
@@ -233,6 +253,50 @@ def _models() -> None:
         ["order_id", "product_id", "sale_price"])[0].agg(F.count(F.lit(1)).alias("train_rows")))
 
 
+def _slots(df: DataFrame, labels: list[str], numbers: list[str]) -> DataFrame:
+    """What the slots of the scaled vectors hold: rows that are not zero, smallest and largest value."""
+    return features.explained(features.vectors(df, labels, numbers)).groupBy("slot").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.min("value"), 6).alias("smallest"), F.round(F.max("value"), 6).alias("largest"))
+
+
+def _metrics() -> None:
+    def rated(s: StarShop) -> DataFrame:
+        complete = features.item_master(s).dropna(subset=features.REQUIRED)
+        return features.return_input(features.with_price_features(complete)).withColumn(
+            "rate", F.round("discount_rate", 4))
+    on_shop("ml09_roc_area", lambda s: metrics.roc_area(rated(s), "rate", "is_returned"))
+    on_shop("ml10_roc_points", lambda s: models.roc_points(rated(s).select("is_returned", "rate"), score="rate"))
+    on_shop("ml06_feature_scores", lambda s: metrics.f_scores(
+        rated(s), "is_returned", models.RETURN_NUMBERS, models.LABELS, models.SELECTED))
+    on_shop("ml13_silhouette", lambda s: metrics.silhouette(
+        reports.rfm_segments(s), "rfm_segment", ["recency_days", "frequency", "monetary"]).withColumn(
+        "silhouette", F.round("silhouette", 6)))
+
+    def by_category(s: StarShop) -> DataFrame:
+        items = rated(s).select("category", metrics.exact(F.col("sale_price")).alias("price"))
+        means = items.groupBy("category").agg(F.round(F.sum("price").cast("double") / F.count("price"), 6).alias("mean"))
+        return metrics.root_mean_square(items.join(means, "category"), "price", "mean")
+    on_shop("ml15_rmse", by_category)
+    on_shop("ml02_label_order", lambda s: metrics.label_order(rated(s), features.RETURN_LABELS))
+    on_shop("p2_vector_slots", lambda s: _slots(
+        features.return_input(features.item_features(s)), features.RETURN_LABELS, features.RETURN_NUMBERS))
+    on_shop("p4_vector_slots", lambda s: _slots(
+        features.price_input(features.item_features(s)), features.PRICE_LABELS, features.PRICE_NUMBERS))
+    on_shop("agg16_distinct_within_bound", lambda s: metrics.distinct_estimates(
+        s.items("status", "user_id"), ["status"], "user_id").select("status", "exact", "within_bound"))
+    on_shop("r2b_sketches_within_bound", _sketch_check)
+    on_shop("fil15_sample_members", lambda s: models.plot_sample(s.users("user_id", "country"), 200, "user_id"))
+
+
+def _sketch_check(s: StarShop) -> DataFrame:
+    messages = streams.star_web_events(s.table("events"))
+    merged = rollups.distinct_visitors_by_source(jobs.visitor_sketches(messages, HOUR), n=100)
+    exact = messages.select("traffic_source", "user_id").distinct().groupBy("traffic_source").agg(
+        F.count("user_id").alias("exact"))
+    return exact.join(merged, "traffic_source").select(
+        "traffic_source", "exact", (F.abs(F.col("unique_users") - F.col("exact")) <= 0.05 * F.col("exact") + 1).alias("within_bound"))
+
+
 # --- single operators ----------------------------------------------------------------------
 
 def _operators() -> None:
@@ -257,3 +321,4 @@ _explore()
 _quality()
 _streams()
 _models()
+_metrics()

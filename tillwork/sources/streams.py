@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import as_money, hundredths, to_iso_instant
@@ -69,6 +69,18 @@ def replay(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
             .parquet(folder))
 
 
+def replay_in_order(table: DataFrame, arrival: Column, batches: int, folder: str, files: int = 1) -> DataFrame:
+    """The rows of a table as a stream that takes the rows of ``arrival`` 0 first, then those of 1, and so on.
+
+    Every step is written as ``files`` files after the one before it, and makes a micro-batch of its own. So
+    the watermark of each batch, and which rows come too late for it, follow from the table alone.
+    """
+    spark, steps = table.sparkSession, table.withColumn("_step", arrival)
+    for step in range(batches):
+        steps.where(F.col("_step") == step).drop("_step").repartition(files).write.mode("append").parquet(folder)
+    return replay(spark, folder, table.schema, files_per_trigger=files)
+
+
 def read_back(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Everything a stream has written below ``path``, with merged schemas.
 

@@ -2,7 +2,7 @@
 
 A job maps decoded messages to its result and knows neither source nor sink: it runs on a
 stream and, for backfills and tests, on a stored table. Distinct counts are HyperLogLog
-estimates on a stream (``distinct="approx"``) and may be exact on a table.
+estimates on a stream (``distinct="approx"``) and may be exact on a table; the funnel's may on both.
 """
 
 from __future__ import annotations
@@ -94,7 +94,8 @@ def traffic_funnel(messages: DataFrame, length: str = "2 minutes", slide: str |
                    late: str = "3 minutes", distinct: str = "approx") -> DataFrame:
     """Sessions per funnel stage, conversion and cart abandonment by source and window.
 
-    A session counts for the stages it has an event of. ``distinct="exact"`` is for tables only.
+    A session counts for the stages it has an event of. ``distinct="exact"`` holds a row per session and
+    one per user of each open window; on a stream it needs the append mode.
     """
     timed = with_event_time(messages, "created_at", late)
     stages = [f"stage_{s}" for s in FUNNEL_STAGES]
