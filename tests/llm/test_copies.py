@@ -223,6 +223,13 @@ def test_repeats_equal_brute_force(docs, hot):
     assert got == cut_brute(rows, 100)
 
 
+def test_repeats_of_rows_without_an_id(docs):
+    text = "".join(random.Random(4).choices("abcdefgh ", k=150))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in repeats.without_repeats(docs(
+        [(None, text), (1, "abc " + text + " xyz"), (2, "other " * 3)])).collect()}
+    assert got == {None: (150, 0, 0), 1: (158, 150, 1), 2: (18, 0, 0)}
+
+
 def test_repeats_of_odd_tables(docs):
     assert repeats.without_repeats(docs([])).collect() == []
     text = "y" * 50 + "z" * 70

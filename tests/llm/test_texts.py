@@ -48,6 +48,23 @@ def test_languages_of_odd_tables(docs, spark):
     assert [r["lang_pred"] for r in language.identify(unlabelled, language.fit_languages(unlabelled)).collect()] == ["und"]
 
 
+def test_shares_of_any_number_of_rows(spark):
+    ids = spark.range(400000)
+    for rows, bound in ((100_000_000_000, 10_000_000_000), (100_000_000_000, 25_000_000), (400000, 400000), (3, 5)):
+        got = ids.where(learning.hashed_share("id", rows, bound)).count()
+        want = 400000 * min(1, bound / rows)
+        assert abs(got - want) <= 5 * want ** 0.5 + 1e-9
+    # A share far below a millionth still has a limit above zero.
+    plan = ids.where(learning.hashed_share("id", 100_000_000_000, 2000))._jdf.queryExecution().optimizedPlan().toString()
+    assert str((2000 << 63) // 100_000_000_000) in plan
+
+
+def test_signs_that_are_no_letters_are_undetermined(docs):
+    model = language.fit_languages(docs([(i, t, x) for i, (t, x) in enumerate([("der Hund", "de"), ("the dog", "en")] * 12)]))
+    got = language.identify(docs([(1, "½ ²"), (2, "Ⅷ"), (3, "1_2"), (4, "ª"), (5, "中")]), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in got} == {1: True, 2: True, 3: True, 4: False, 5: False}
+
+
 def test_families():
     assert language.family_of("de") == language.family_of("en") != language.family_of("fr") and language.family_of("xx") == "xx"
 
@@ -115,6 +132,14 @@ def test_licences_equal_brute_force(docs):
     assert licences.licence_notices(docs([])).collect() == []
 
 
+def test_templates_in_other_scripts_and_ties(docs):
+    templates = {"b": "настоящая лицензия разрешает любое использование текста", "a": "настоящая лицензия разрешает любое использование текста",
+                 "c": "эта совсем другая короткая запись здесь"}
+    rows = [(1, "Настоящая лицензия разрешает любое использование текста!\nи ещё одна длинная строка без всякого смысла"), (2, "эта совсем другая запись")]
+    got = [(r["doc_id"], r["kind"], r["place"], r["licence"], r["dice"]) for r in licences.licence_notices(docs(rows), templates).collect()]
+    assert got == [(1, "line", 0, "a", 1.0)]
+
+
 def test_a_notice_over_several_lines(docs):
     words = licences.TEMPLATES["MIT (permission)"].split()
     text = "Title\n\n" + "\n".join(" ".join(words[k:k + 9]) for k in range(0, len(words), 9)) + "\n\nThe rest"

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(id_column: str) -> Column:
@@ -18,9 +18,13 @@ def held_out(id_column: str) -> Column:
 
 
 def hashed_share(name: str, rows: int, bound: int) -> Column:
-    """About ``bound`` of ``rows`` rows, chosen by a hash of the column (all if there are fewer)."""
-    share = min(1.0, bound / max(rows, 1))
-    return F.pmod(F.xxhash64(F.lit("sample"), F.col(name)), F.lit(1_000_000)) < round(share * 1_000_000)
+    """About ``bound`` of ``rows`` rows, chosen by a hash of the column (all if there are fewer).
+
+    The hash is compared with a limit of 63 bits, so the share is as fine as any number of rows needs.
+    """
+    if rows <= bound:
+        return F.lit(True)
+    return F.xxhash64(F.lit("sample"), F.col(name)).bitwiseAND((1 << 63) - 1) < (bound << 63) // rows
 
 
 def featured(df: DataFrame, features: Callable[[str], np.ndarray], keep: str) -> DataFrame:

@@ -150,11 +150,12 @@ def licence_notices(docs: DataFrame, templates: dict[str, str] | None = None, th
     """A row per unit that is a notice: id, kind, place (from 0), n_bigrams, licence, dice."""
     spark = docs.sparkSession
     texts = spark.createDataFrame(sorted((templates or TEMPLATES).items()), "licence string, notice string")
-    known = (texts.select("licence", F.filter(F.split(F.regexp_replace(F.lower("notice"), r"[^\p{L}\p{N}]+", " "), " "),
-                                              lambda w: w != "").alias("words"))
+    split = texts.select("licence", F.filter(F.split(F.regexp_replace(F.lower("notice"), r"[^\p{L}\p{N}]+", " "), " "),
+                                             lambda w: w != "").alias("words"))
+    known = (split
              .select("licence", (F.size("words") - 1).alias("t_size"), F.explode(_bigrams(F.col("words"))).alias("bigram"))
              .groupBy("licence", "t_size", "bigram").agg(F.count(F.lit(1)).alias("t_count")))
-    low, high = texts.select(F.min(F.size(F.split("notice", " "))), F.max(F.size(F.split("notice", "[^A-Za-z0-9]+")))).first()
+    low, high = split.select(F.min(F.size("words")), F.max(F.size("words"))).first()
     texts = docs.select(
         F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("row"),
         F.regexp_replace(F.lower(F.col(text_column).cast("string")), r"[^\p{L}\p{N}\n]+", " ").alias("text"))
