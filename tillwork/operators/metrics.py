@@ -66,9 +66,9 @@ def silhouette(df: DataFrame, cluster: str, numbers: Sequence[str]) -> DataFrame
     groups = points.groupBy("cluster").agg(F.count(F.lit(1)).cast("double").alias("n"), total(norm).alias("norms"),
                                            *(total(F.col(x)).alias(f"sum_{x}") for x in places))
     # A row per cluster: as many as the model has.
-    every = groups.agg(F.collect_list(F.struct("cluster", "n", "norms", F.array(*(f"sum_{x}" for x in places)).alias("sums"))).alias("groups"))
+    every = groups.agg(F.collect_list(F.struct("cluster", "n", "norms", F.array(*(f"sum_{x}" for x in places)).alias("sums"))).alias("groups")).scalar()
     at = F.array(*(F.col(x).cast("double") for x in places))
-    joined = points.select("cluster", at.alias("at"), norm.cast("double").alias("norm")).crossJoin(F.broadcast(every))
+    joined = points.select("cluster", at.alias("at"), norm.cast("double").alias("norm")).withColumn("groups", every)
 
     def spread(g: Column) -> Column:
         dot = F.aggregate(F.zip_with("at", g["sums"], lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
@@ -101,9 +101,9 @@ def f_scores(df: DataFrame, label: str, numbers: Sequence[str], labels: Sequence
                .agg(F.count(F.lit(1)).cast("double").alias("sum")).withColumn("square", F.col("sum")))
     # A class without the value adds nothing to its sums, but its rows count.
     sums = plain.unionByName(counted).join(F.broadcast(classes), "class")
-    whole = classes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
+    rows, number = classes.agg(F.sum("n")).scalar(), classes.agg(F.count(F.lit(1))).scalar()
     between = sums.groupBy("feature").agg(F.sum(F.col("sum") * F.col("sum") / F.col("n")).alias("means"), F.sum("sum").alias("sum"),
-                                          F.sum("square").alias("square")).crossJoin(F.broadcast(whole))
+                                          F.sum("square").alias("square")).withColumns({"rows": rows, "classes": number})
     apart = (F.col("means") - F.col("sum") * F.col("sum") / F.col("rows")) / (F.col("classes") - 1)
     within = (F.col("square") - F.col("means")) / (F.col("rows") - F.col("classes"))
     scored = between.select("feature", F.try_divide(apart, within).alias("f_value"))
