@@ -10,7 +10,8 @@ from tillwork.plans import explore, reports
 from tillwork.registry import QUERIES
 
 # These run jobs while they are built; what they return reads stored results.
-EAGER = ("s1_order_anomaly_stream", "s2_traffic_funnel_stream", "s3_inventory_snapshot_stream",
+EAGER = ("s1_order_anomaly_stream", "s2_traffic_funnel_stream", "s2_exact_funnel_stream", "str02_",
+         "s3_inventory_snapshot_stream", "s3_inventory_active_stream",
          "s4_revenue_dashboard_stream", "m1_", "m2_", "m3_", "fil15", "p2_", "p4_")
 
 
