@@ -126,6 +126,33 @@ def test_band_keys_depend_on_the_set_alone(spark):
     assert got[0] == got[1] == got[2] and len(got[0]) == 8
 
 
+def test_a_frequent_word_of_short_lines_is_no_band(spark):
+    rows = [(i, f"common {'bcdfghjklm'[i % 10]}{i} item{i * 7919} of{i * 31}") for i in range(600)]
+    keys = lines.line_bands(F.col("line"), 10, 8, 3)
+    banded = spark.createDataFrame(rows, "i int, line string").select("i", F.explode(keys).alias("band")).distinct()
+    assert banded.select("i").distinct().count() == 600
+    assert (banded.groupBy("band").count().agg(F.max("count")).first()[0] or 0) <= 3
+
+
+def test_short_sets_of_the_similarity_share_a_band(spark):
+    r, rows = random.Random(4), []
+    for n in range(1, 16):
+        for _ in range(40):
+            own = [r.randrange(-2 ** 63, 2 ** 63) for _ in range(n)]
+            other = own + [r.randrange(-2 ** 63, 2 ** 63) for _ in range(n // 4)]  # similarity of 0.8 or more
+            rows.append((own, other))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").select(
+        *(lines.band_keys(F.col(c), 8, 3).alias(c) for c in "ab"))
+    missed = df.where(~F.arrays_overlap("a", "b")).count()
+    assert missed <= 0.01 * len(rows)
+
+
+def test_lines_fold_every_kind_of_blank(spark, docs):
+    texts = ["One\ttwo  three\x0bfour\r", " one two three four", "\t \r", "one two\x0c\x0cthree four "]
+    got = {r["id"]: r["line"] for r in lines.split_lines(docs(list(enumerate(texts))), "doc_id", "text").collect()}
+    assert got == {i: re.sub(r"[ \t\n\x0b\f\r]+", " ", t.lower()).strip(" ") for i, t in enumerate(texts) if i != 2}
+
+
 def test_lines_are_taken_out_of_texts(spark, docs):
     rows = [(1, "first line of all\nfooter of the site"), (2, "second line here\nfooter of the site\n"), (3, "first line of all"), (4, ""), (5, None)]
     df = docs(rows).withColumn("__x", F.lit(1)).withColumn("n_chars", F.length("text"))
