@@ -21,7 +21,10 @@ own text; other columns are not read.
 from __future__ import annotations
 
 import math
+import operator
 import re
+from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -96,6 +99,28 @@ def _anchors(notices: list[str], threshold: float) -> list[str]:
     return sorted(out)
 
 
+def _enough(words: Column, notices: list[str], threshold: float) -> Column:
+    """Whether the words can hold a window that is a notice.
+
+    Such a window has t / (2 - t) of some template's bigrams, and of those no more begin with the words
+    a text shares with the template than with as many of the template's commonest words.
+    """
+    split = [re.sub(r"[\W_]+", " ", notice.lower()).split() for notice in notices]
+    # Words that no template has go first, so that each template meets a short array.
+    own = F.array_intersect(words, F.array(*map(F.lit, sorted({w for s in split for w in s}))))
+
+    def shared(some: Column) -> Column:
+        bounds = []
+        for w in split:
+            need, at = math.ceil((len(w) - 1) * threshold / (2 - threshold) - 1e-9), 0
+            for _, count in Counter(w[:-1]).most_common():
+                need, at = need - count, at + (need > 0)
+            bounds.append(F.size(F.array_intersect(some, F.array(*map(F.lit, sorted(set(w)))))) >= at)
+        return reduce(operator.or_, bounds)
+
+    return F.transform(F.array(own), shared)[0]
+
+
 def _windows(texts: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """Columns id, row, start, end (words), n, licence, dice: windows that are notices, of each text apart from each other."""
     ratio = (2 - threshold) / threshold
@@ -162,12 +187,15 @@ def licence_notices(docs: DataFrame, templates: dict[str, str] | None = None, th
     found = _notices(texts, known, low, high, threshold).select("id", "kind", "place", "n", "licence", "dice")
 
     def windows() -> DataFrame:
-        anchors = F.array(*map(F.lit, _anchors([*(templates or TEMPLATES).values()], threshold)))
-        some = written(texts.where(F.arrays_overlap(_words(F.col("text")), anchors)), "licence-texts")
-        # What a unit shows already is not given again.
+        notices = [*(templates or TEMPLATES).values()]
+        anchors, words = F.array(*map(F.lit, _anchors(notices, threshold))), _words(F.col("text"))
+        some = written(texts.where(F.arrays_overlap(words, anchors)).where(_enough(words, notices, threshold)), "licence-texts")
+        free = written(_windows(some, known, threshold), "licence-found")
+        # What a unit shows already is not given again: units of the texts that have windows.
+        some = written(some.join(free.select("row").distinct(), "row", "left_semi"), "licence-near")
+        units = written(_notices(some, known, low, high, threshold).select("row", "kind", "place"), "licence-units")
         word = F.posexplode(F.flatten(F.transform("units", lambda u, i: F.transform(_words(u), lambda w: i)))).alias("at", "place")
         split = {"line": F.split("text", "\n", -1), "paragraph": _parts(F.col("text")), "text": F.array(F.col("text"))}
-        units = _notices(some, known, low, high, threshold).select("row", "kind", "place")
         spans = None
         for kind, parts in split.items():
             span = (some.select("row", parts.alias("units")).select("row", word).groupBy("row", "place")
@@ -175,7 +203,7 @@ def licence_notices(docs: DataFrame, templates: dict[str, str] | None = None, th
                     .join(units.where(F.col("kind") == kind), ["row", "place"], "left_semi").select("row", "first", "last"))
             spans = span if spans is None else spans.unionByName(span)
         spans = spans.withColumnRenamed("row", "of")
-        free = _windows(some, known, threshold).join(
+        free = free.join(
             spans, (F.col("row") == F.col("of")) & (F.col("start") <= F.col("last")) & (F.col("end") >= F.col("first")), "left_anti")
         return free.select("id", F.lit("window").alias("kind"), F.col("start").alias("place"), "n", "licence", "dice")
 
