@@ -96,7 +96,7 @@ def latent_space(texts: DataFrame, weights: np.ndarray) -> np.ndarray:
                 value = weights[ids]
                 value = value / np.sqrt(np.add.reduceat(value * value, cuts))[passage]
                 y = np.add.reduceat(omega[ids] * value[:, None], cuts)
-                order = np.argsort(ids, kind="stable")
+                order = np.argsort(ids.astype("uint16"), kind="stable")
                 first = np.flatnonzero(np.diff(ids[order], prepend=-1))
                 total[ids[order][first]] += np.add.reduceat(y[passage[order]] * value[order, None], first)
         task = TaskContext.get().partitionId()
@@ -193,8 +193,8 @@ class Items:
         """Candidates (item, begin, end) around the anchors among the words of some texts."""
         count = self.anchor_at[ids + 1] - self.anchor_at[ids]
         place = np.flatnonzero(count)
-        for at in range(0, len(place), 4096):
-            some = place[at:at + 4096]
+        total = np.cumsum(count[place])
+        for some in np.split(place, np.searchsorted(total, np.arange(1 << 19, total[-1], 1 << 19))) if len(place) else ():
             n = count[some]
             anchor = np.repeat(self.anchor_at[ids[some]] - np.cumsum(n) + n, n) + np.arange(n.sum())
             item, begin = self.anchor_item[anchor], np.repeat(some, n) - self.anchor_place[anchor]
@@ -204,7 +204,26 @@ class Items:
 
     def possible(self, ids: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray):
         """The candidates, once each, around which enough of the item's rarer words occur."""
-        item, begin, end = np.unique(np.stack([item, begin, end]), axis=1)
+        size, most = len(ids) + 1, int((end - begin).max()) + 1
+        key = np.sort((item * size + begin) * most + end - begin)
+        key = key[np.diff(key, prepend=-1) != 0]
+        item, begin, end = key // (size * most), key // most % size, key // most % size + key % most
+        numbers, first = np.unique(item, return_index=True)
+        rest = []
+        for number, a, b in zip(numbers, first, [*first[1:], len(item)]):
+            # Windows that together are longer than the texts: running sums over these once.
+            if 4 * (end[a:b] - begin[a:b]).sum() > size:
+                sums = np.zeros(size, "int32")
+                np.cumsum(np.unpackbits(self.rarer[number])[ids], out=sums[1:])
+                near = sums[end[a:b]] - sums[begin[a:b]] >= self.needed[number]
+                yield from zip(item[a:b][near].tolist(), begin[a:b][near].tolist(), end[a:b][near].tolist())
+            else:
+                rest.append(np.arange(a, b))
+        if rest:
+            some = np.concatenate(rest)
+            yield from self._possible(ids, item[some], begin[some], end[some])
+
+    def _possible(self, ids: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray):
         cuts = np.unique(np.searchsorted(np.cumsum(end - begin), np.arange(0, (end - begin).sum(), 1 << 20)))
         for a, b in zip(cuts, [*cuts[1:], len(item)]):
             n = (end - begin)[a:b]
@@ -242,7 +261,8 @@ def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, pa
     def near(ids, starts):
         """Candidates by latent cosine and by anchors."""
         sums = np.zeros((len(ids) + 1, RANK))
-        np.cumsum(vectors[ids], axis=0, out=sums[1:])
+        sums[1:] = vectors[ids]
+        np.cumsum(sums[1:], axis=0, out=sums[1:])
         for size, (numbers, latent) in items.by_size.items():
             begin, end = _windows(starts, size)
             for at in range(0, len(begin), 8192):
