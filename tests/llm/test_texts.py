@@ -246,3 +246,23 @@ def test_every_leak_of_the_small_tables(spark):
     got = {(r["doc_id"], r["item_id"]) for r in registry.QUERIES["op9_benchmark_leaks"](spark, MIDDLE).collect()}
     assert set(want) <= got and len(got) <= len(want) + 3
     assert sql.LICENCES.startswith("\nWITH")
+
+
+def test_possible_candidates_equal_brute_force():
+    random = np.random.default_rng(5)
+    names = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(random.choice(names, 20)), None) for i in range(6)]
+    weights = random.random(decontamination.SIZE).astype("float32") + 0.1
+    items = decontamination.Items(rows, np.ones((decontamination.SIZE, decontamination.RANK), "float32"), weights, 8, 0.8, 0.6)
+    ids = decontamination._word_ids(" ".join([*random.choice(names, 3000), *(r[1] for r in rows)]))
+    # Item 0 has windows all over the text, the others a few, and some are given twice.
+    item = np.concatenate([np.zeros(2900, "int64"), random.integers(1, 6, 40), np.arange(6), np.arange(6)])
+    begin = np.concatenate([np.arange(2900), random.integers(0, 2900, 40), 3000 + 20 * np.arange(6), 3000 + 20 * np.arange(6)])
+    end = np.minimum(begin + 30, len(ids))
+    want = set()
+    for i, a, b in zip(item.tolist(), begin.tolist(), end.tolist()):
+        rare = np.flatnonzero(np.unpackbits(items.rarer[i]))
+        if np.isin(ids[a:b], rare).sum() >= items.needed[i]:
+            want.add((i, a, b))
+    got = list(items.possible(ids, item, begin, end))
+    assert sorted(got) == sorted(want) and {(i, 3000 + 20 * i) for i in range(6)} <= {g[:2] for g in got}
