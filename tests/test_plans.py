@@ -119,3 +119,15 @@ def test_reports_add_up_a_hot_order_before_it_moves(spark, skewed):
         assert "partial_sum" in text and "CartesianProduct" not in text
         lines = skewed.items("sale_price", statuses=None)
         assert lines.count() >= 9000
+
+
+def test_correlation_without_spread_is_null(shop, monkeypatch, spark):
+    def fit(*rows):
+        table = spark.createDataFrame(rows, "median_days double, return_rate double")
+        monkeypatch.setattr(explore, "_delivery_statistics", lambda *_: table)
+        return tuple(explore.delivery_correlation(shop).first())
+
+    assert fit((30.0, 1.0), (30.0, 2.0), (30.0, 4.0)) == (None, None, None, 3, "weak")
+    assert fit((1.0, 3.0), (2.0, 3.0)) == (None, 0.0, 3.0, 2, "weak")
+    assert fit((1.0, 3.0), (2.0, 5.0), (3.0, 7.0)) == (1.0, 2.0, 1.0, 3, "positive")
+    assert fit((1.0, 3.0)) == (None, None, None, 1, "weak")

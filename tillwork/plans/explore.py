@@ -440,10 +440,15 @@ def delivery_and_returns(shop: Shop, most_days: int = 60, top: int = 12) -> Data
 
 
 def delivery_correlation(shop: Shop, most_days: int = 60, top: int = 12) -> DataFrame:
-    """Pearson correlation and least-squares line of return rate on median days: one row."""
+    """Pearson correlation and least-squares line of return rate on median days: one row.
+
+    Where all countries share one median (or one rate), the correlation is null and its verdict weak.
+    """
     days, rate = "median_days", "return_rate"
+    # Not corr(): without a spread it divides by zero, an error in ANSI mode.
+    r = F.try_divide(F.covar_pop(days, rate), F.stddev_pop(days) * F.stddev_pop(rate))
     fit = _delivery_statistics(shop, most_days, top).agg(
-        F.corr(days, rate).alias("r"), F.regr_slope(rate, days).alias("slope"),
+        r.alias("r"), F.regr_slope(rate, days).alias("slope"),
         F.regr_intercept(rate, days).alias("intercept"), F.count(F.lit(1)).alias("countries"))
     return fit.select(*(rounded(F.col(c), DETAIL).alias(c) for c in ("r", "slope", "intercept")),
                       "countries", correlation_verdict(F.col("r")).alias("verdict"))
