@@ -262,3 +262,24 @@ def test_repeats_of_odd_tables(docs):
     text = "y" * 50 + "z" * 70
     got = sorted(tuple(r)[1:4] for r in repeats.without_repeats(docs([(1, text), (1, text), (1, text[::-1])])).collect())
     assert got[-1] == (120, 120, 1) and [g[1] for g in got] == [0, 0, 120]
+
+
+def test_only_pairs_that_may_be_similar_are_compared(spark):
+    r, texts = random.Random(8), []
+    for i in range(12):  # a line, edits of it that come nearer and nearer to the least similarity, and unlike lines
+        own = words(60, 700 + i)
+        texts += [" ".join(own), *(" ".join([*own[:k], "edited", *own[k + 1 + k % 4:]]) for k in r.sample(range(60), 6))]
+        texts += [" ".join(words(3 + 20 * k, 900 + 9 * i + k)) for k in range(4)] + [("%032x" % r.getrandbits(128)) * 3]
+    sets = spark.createDataFrame(list(enumerate(texts)), "key int, line string").select(
+        "key", "line", *(F.size(F.array_distinct(lines.cuts(F.col("line"), 10)[n])).alias(n) for n in lines.KINDS))
+    marked = lines.with_parities(sets, 10)
+    assert marked.count() == len(texts)
+    sides = [marked.select(*(F.col(c).alias(f"{c}_{n}") for c in marked.columns)) for n in "ab"]
+    kept = {tuple(x) for x in sides[0].crossJoin(sides[1]).where(F.col("key_a") < F.col("key_b")).where(
+        lines.may_be_similar("words", 0.8) | lines.may_be_similar("chars", 0.8)).select("key_a", "key_b").collect()}
+    chars = [{t[k:k + 10] for k in range(len(t))} for t in texts]
+    starts = [set(re.findall(r"(?<![a-z0-9])(?=([a-z0-9]{11,}|.{1,10}))", t)) for t in texts]
+    every = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))]
+    similar = {(a, b) for a, b in every if any(len(s[a] & s[b]) >= 0.8 * len(s[a] | s[b]) for s in (chars, starts))}
+    assert len(similar) > 100 and similar <= kept
+    assert len(kept - similar) < len(every) / 50
