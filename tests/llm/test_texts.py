@@ -266,3 +266,16 @@ def test_possible_candidates_equal_brute_force():
             want.add((i, a, b))
     got = list(items.possible(ids, item, begin, end))
     assert sorted(got) == sorted(want) and {(i, 3000 + 20 * i) for i in range(6)} <= {g[:2] for g in got}
+
+
+def test_items_are_looked_up_once_for_many_small_candidate_sets():
+    parts = [(np.array([k % 5]), np.array([k]), np.array([k + 8])) for k in range(1000)] + [(np.zeros(0, "int64"),) * 3]
+    got = list(decontamination._together(iter(parts)))
+    assert len(got) == 1 and got[0][1].tolist() == list(range(1000))
+    assert [len(x[0]) for x in decontamination._together(iter(parts), 300)] == [300, 300, 300, 100]
+
+
+def test_only_letters_and_digits_join_words():
+    from tillwork.llm.shingles import word_hashes
+    assert (word_hashes("Grüße — naïve“quoted”…x") == word_hashes("grüße naïve quoted x")).all()
+    assert len(word_hashes("a\x7fb")) == 2

@@ -28,6 +28,7 @@ are no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -88,19 +89,19 @@ def _test_matrix() -> np.ndarray:
 def latent_space(texts: DataFrame, weights: np.ndarray) -> np.ndarray:
     """Whitened latent vector (float32) of every hash value, by randomised SVD of all passages."""
     def sketch(batches):
-        omega, total = _test_matrix(), np.zeros((SIZE, RANK))
+        # A column of the test matrix at a time: what it needs stays in the processor's cache.
+        omega, total = np.ascontiguousarray(_test_matrix().T), np.zeros((RANK, SIZE))
         for batch in batches:
             for _, ids, starts in _chunks(batch["text"]):
                 cuts = np.unique(np.concatenate([starts[:-1], *(np.arange(a, b, PASSAGE) for a, b in zip(starts, starts[1:]))]))
                 passage = np.repeat(np.arange(len(cuts)), np.diff(np.append(cuts, len(ids))))
                 value = weights[ids]
                 value = value / np.sqrt(np.add.reduceat(value * value, cuts))[passage]
-                y = np.add.reduceat(omega[ids] * value[:, None], cuts)
-                order = np.argsort(ids.astype("uint16"), kind="stable")
-                first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-                total[ids[order][first]] += np.add.reduceat(y[passage[order]] * value[order, None], first)
+                for column, added_up in zip(omega, total):
+                    y = np.add.reduceat(column.take(ids) * value, cuts)
+                    added_up += np.bincount(ids, weights=y.take(passage) * value, minlength=SIZE)
         task = TaskContext.get().partitionId()
-        step = SIZE // SLICES
+        step, total = SIZE // SLICES, np.ascontiguousarray(total.T)
         yield pd.DataFrame({"slice": np.arange(SLICES), "part": task // 256,
                             "sums": [total[k * step:(k + 1) * step].tobytes() for k in range(SLICES)]})
 
@@ -211,11 +212,10 @@ class Items:
         numbers, first = np.unique(item, return_index=True)
         rest = []
         for number, a, b in zip(numbers, first, [*first[1:], len(item)]):
-            # Windows that together are longer than the texts: running sums over these once.
+            # Windows that together are longer than the texts: the places of the rarer words in these once.
             if 4 * (end[a:b] - begin[a:b]).sum() > size:
-                sums = np.zeros(size, "int32")
-                np.cumsum(np.unpackbits(self.rarer[number])[ids], out=sums[1:])
-                near = sums[end[a:b]] - sums[begin[a:b]] >= self.needed[number]
+                met = np.flatnonzero(np.unpackbits(self.rarer[number]).view(bool).take(ids))
+                near = np.searchsorted(met, end[a:b]) - np.searchsorted(met, begin[a:b]) >= self.needed[number]
                 yield from zip(item[a:b][near].tolist(), begin[a:b][near].tolist(), end[a:b][near].tolist())
             else:
                 rest.append(np.arange(a, b))
@@ -257,17 +257,37 @@ def _windows(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([begin, starts[:-1][short]]), np.concatenate([begin + size, starts[1:][short]])
 
 
+def _together(candidates, most: int = 1 << 18):
+    """Candidates (item, begin, end) in few large pieces: each piece looks up an item's words in the texts once."""
+    parts, count = [], 0
+    for part in candidates:
+        if len(part[0]):
+            parts.append(part)
+            count += len(part[0])
+        if count >= most:
+            yield tuple(map(np.concatenate, zip(*parts)))
+            parts, count = [], 0
+    if parts:
+        yield tuple(map(np.concatenate, zip(*parts)))
+
+
 def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, paraphrase: float):
+    exact_vectors = vectors.astype("float64")
+
     def near(ids, starts):
         """Candidates by latent cosine and by anchors."""
         sums = np.zeros((len(ids) + 1, RANK))
-        sums[1:] = vectors[ids]
-        np.cumsum(sums[1:], axis=0, out=sums[1:])
+        np.take(exact_vectors, ids, axis=0, out=sums[1:], mode="clip")
+        for at in range(1, len(ids) + 1, 1024):  # in pieces that stay in the processor's cache
+            part = sums[at - 1:at + 1024]
+            np.cumsum(part, axis=0, out=part)
         for size, (numbers, latent) in items.by_size.items():
             begin, end = _windows(starts, size)
             for at in range(0, len(begin), 8192):
                 a, b = begin[at:at + 8192], end[at:at + 8192]
-                w, i = np.nonzero(_unit((sums[b] - sums[a]).astype("float32")) @ latent.T >= cosine)
+                z = (sums[b] - sums[a]).astype("float32")
+                close = z @ latent.T >= cosine * np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-12)[:, None]
+                w, i = np.divmod(np.flatnonzero(close), len(numbers))
                 # The window lies in the item, up to a third of it may stand out; room for edits.
                 room = np.maximum(items.length[numbers[i]] - size, 0) + size // 2 + 4
                 text = np.searchsorted(starts, a[w], "right") - 1
@@ -279,12 +299,11 @@ def _searcher(items: Items, vectors: np.ndarray, cosine: float, exact: float, pa
             docs, found = batch["id"].to_numpy(), {}
             texts = batch["text"].tolist()
             for rows, ids, starts in _chunks(texts):
-                hits = defaultdict(set)
-                for item, begin, end in near(ids, starts):
-                    if len(item):
-                        for i, a, b in items.possible(ids, item, begin, end):
-                            text = int(np.searchsorted(starts, a, "right")) - 1
-                            hits[text].add((i, a - int(starts[text]), b - int(starts[text])))
+                hits, limits = defaultdict(set), starts.tolist()
+                for item, begin, end in _together(near(ids, starts)):
+                    for i, a, b in items.possible(ids, item, begin, end):
+                        text = bisect_right(limits, a) - 1
+                        hits[text].add((i, a - limits[text], b - limits[text]))
                 for text, some in hits.items():
                     words = word_hashes(texts[rows[text]]).tolist()
                     best = {}
