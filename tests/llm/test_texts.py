@@ -1,6 +1,7 @@
 """Language, quality, licences and benchmark passages: held-out accuracy, SQL and brute force."""
 
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -279,3 +280,23 @@ def test_only_letters_and_digits_join_words():
     from tillwork.llm.shingles import word_hashes
     assert (word_hashes("Grüße — naïve“quoted”…x") == word_hashes("grüße naïve quoted x")).all()
     assert len(word_hashes("a\x7fb")) == 2
+
+
+def test_a_fit_holds_one_matrix():
+    r = np.random.default_rng(3)
+    x, y = np.hstack([r.random((4000, 500), "float32"), np.ones((4000, 1), "float32")]), np.where(np.arange(4000) % 2, 1, -1).astype("float32")
+    tracemalloc.start()
+    try:
+        w = learning.linear_svm(x, y, turns=3)
+        assert tracemalloc.get_traced_memory()[1] < x.nbytes / 2
+    finally:
+        tracemalloc.stop()
+    assert len(w) == 501
+
+
+def test_features_are_in_the_order_of_the_other_columns(spark):
+    rows = spark.createDataFrame([(k, f"word{k} " * (k + 1)) for k in range(50)], "k int, text string").repartition(7)
+    x, (keys,) = learning.matrix(learning.featured(rows, learning.byte_grams, "k int"), "k", ones=True)
+    assert x.shape == (50, 2049) and sorted(keys) == list(range(50))
+    for row, k in zip(x, keys):
+        assert (row == np.append(learning.byte_grams(f"word{k} " * (k + 1)), np.float32(1))).all()

@@ -39,7 +39,7 @@ def family_of(code: str) -> str:
 
 
 class LanguageModel:
-    """Linear machines; small (languages squared), whatever the corpus."""
+    """Linear machines; small (languages squared), whatever the corpus. The last column of ``x`` is ones."""
 
     def __init__(self, x: np.ndarray, codes: list[str]):
         self.codes = sorted(set(codes))
@@ -83,12 +83,12 @@ def fit_languages(docs: DataFrame, sample: int = 8000, id_column: str = "doc_id"
         F.col(text_column).alias("text"))
     counts = {r["code"]: r["count"] for r in rows.groupBy("code").count().collect()}  # a row per language
     if not counts:
-        return LanguageModel(np.zeros((0, 2048), "float32"), [])
+        return LanguageModel(np.zeros((0, 2049), "float32"), [])
     each = max(1, sample // len(counts))
     chosen = F.lit(False)
     for code, number in counts.items():
         chosen = chosen | ((F.col("code") == code) & hashed_share("row", number, each))
-    x, (codes,) = matrix(featured(rows.where(chosen), byte_grams, "code string"), "code")
+    x, (codes,) = matrix(featured(rows.where(chosen), byte_grams, "code string"), "code", ones=True)
     return LanguageModel(x, codes)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,16 +40,27 @@ def featured(df: DataFrame, features: Callable[[str], np.ndarray], keep: str) ->
     return df.select(*names, "text").mapInPandas(run, f"{keep}, x array<float>")
 
 
-def matrix(df: DataFrame, *names: str) -> tuple[np.ndarray, list[list]]:
-    """Features and other columns of a bounded sample, on the driver."""
-    table = df.select("x", *names).toArrow().combine_chunks()
-    rows = table.num_rows
-    flat = table["x"].combine_chunks()
-    if hasattr(flat, "chunk") and flat.num_chunks:
-        flat = flat.chunk(0)
+def matrix(df: DataFrame, *names: str, ones: bool = False) -> tuple[np.ndarray, list[list]]:
+    """Features (``ones``: and a last column of ones) and other columns of a bounded sample, on the driver.
+
+    The features are copied once, into their place, and what carried them is given back: the driver
+    holds one matrix of the sample, not several.
+    """
+    table = df.select("x", *names).toArrow()
+    rows, at, out = table.num_rows, 0, np.zeros((0, 0), "float32")
     if not rows:
-        return np.zeros((0, 0), "float32"), [[] for _ in names]
-    return np.asarray(flat.flatten(), dtype="float32").reshape(rows, -1), [table[name].to_pylist() for name in names]
+        return out, [[] for _ in names]
+    others = [table[name].to_pylist() for name in names]
+    for chunk in table["x"].iterchunks():
+        if len(chunk):
+            part = np.asarray(chunk.flatten(), dtype="float32").reshape(len(chunk), -1)
+            if not at:
+                out = np.ones((rows, part.shape[1] + ones), "float32")
+            out[at:at + len(part), :part.shape[1]] = part
+            at += len(part)
+    part = chunk = table = None
+    pa.default_memory_pool().release_unused()
+    return out, others
 
 
 # --- features ------------------------------------------------------------------------------
@@ -112,10 +124,10 @@ def text_shape(text: str) -> np.ndarray:
 
 def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, turns: int = 200) -> np.ndarray:
     """Weights (the last is the offset) of a linear support vector machine with squared hinge loss,
-    each class weighing the same, by accelerated gradient descent. ``y`` holds 1 and -1."""
-    x = np.hstack([x, np.ones((len(x), 1), "float32")])
+    each class weighing the same, by accelerated gradient descent. ``y`` holds 1 and -1, the last column of ``x`` ones."""
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype("float32")
-    rate = 1 / (2 * (x * x).sum(axis=1).max() + penalty)
+    parts = (x[at:at + 256] for at in range(0, len(x), 256))  # squares of all rows at once would be another matrix
+    rate = 1 / (2 * max((part * part).sum(axis=1).max() for part in parts) + penalty)
     w = look = np.zeros(x.shape[1], "float32")
     for turn in range(turns):
         loss = np.maximum(0, 1 - y * (x @ look))
