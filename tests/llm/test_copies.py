@@ -283,3 +283,13 @@ def test_only_pairs_that_may_be_similar_are_compared(spark):
     similar = {(a, b) for a, b in every if any(len(s[a] & s[b]) >= 0.8 * len(s[a] | s[b]) for s in (chars, starts))}
     assert len(similar) > 100 and similar <= kept
     assert len(kept - similar) < len(every) / 50
+
+
+def test_a_pair_of_many_bands_is_one_row(spark, docs):
+    texts = [" ".join([*words(60, 1), *words(1, 50 + k)]) for k in range(6)]
+    sets = spark.createDataFrame(list(enumerate(texts)), "key int, line string").select(
+        "key", "line", *(F.size(F.array_distinct(lines.cuts(F.col("line"), 10)[n])).alias(n) for n in lines.KINDS))
+    bands = [(band, key, key) for band in range(5) for key in range(6) if (band + key) % 5]  # two lines share three bands or more
+    banded = spark.createDataFrame(bands, "band long, key int, component int")
+    got = sorted(tuple(x) for x in lines.possible_pairs(banded, lines.with_parities(sets, 10), 0.8).collect())
+    assert got == [(a, b) for a in range(6) for b in range(a + 1, 6)]
