@@ -1,6 +1,7 @@
 """Models: invariants on small, seeded fits."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tillwork.plans import features, models
@@ -46,6 +47,14 @@ def test_return_prediction(star):
     assert area == pytest.approx(fitted.metric, abs=1e-6)
 
 
+def test_return_prediction_in_an_observed_session(spark, star, tmp_path):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "observed"))
+    assert seen.get["n"] == 3
+    fitted = models.predict_returns(star, trees=2, depth=2)
+    assert fitted.predictions.where("score between 0 and 1").count() > 0
+
+
 def test_clusters(star):
     fitted = models.cluster_customers(star)
     sizes = {r["cluster"]: r["count"] for r in fitted.predictions.groupBy("cluster").count().collect()}

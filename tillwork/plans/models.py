@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import RETURNED, discount_rate, flag, ratio
@@ -66,6 +66,18 @@ def _training_table(shop: Shop, name: str) -> DataFrame:
     return written_evenly(table.select(*KEYS, *REQUIRED, "is_returned", "discount_rate", "price_gap"), name, *KEYS)
 
 
+def without_summaries(model: PipelineModel) -> PipelineModel:
+    """The model without the summaries of its training.
+
+    A forest's summary holds the session, which cannot be sent to tasks once anything in it was
+    observed (``Observation``); the model could then not be applied.
+    """
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) -> Fitted:
     """Random forest on balanced classes; the metric is the area under the ROC curve."""
     train, test = split(_training_table(shop, "returns"), [*KEYS, "sale_price", "is_returned"])
@@ -77,8 +89,8 @@ def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) ->
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="is_returned", weightCol="class_weight",
         numTrees=trees, maxDepth=depth, seed=SEED)
-    model = Pipeline(stages=[*vector_stages(LABELS, RETURN_NUMBERS, keep_invalid=False),
-                             selector, forest]).fit(train)
+    model = without_summaries(Pipeline(stages=[*vector_stages(LABELS, RETURN_NUMBERS, keep_invalid=False),
+                                               selector, forest]).fit(train))
     scored = written(model.transform(test).select(
         *KEYS, "is_returned", "rawPrediction", "prediction",
         vector_to_array("probability")[1].alias("score")), "return-scores")
