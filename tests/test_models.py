@@ -1,9 +1,16 @@
 """Models: invariants on small, seeded fits."""
 
+import math
+import re
+
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tillwork.operators import bins
 from tillwork.plans import features, models
 
 
@@ -69,6 +76,46 @@ def test_prices_beat_the_mean(star):
     assert 0 < fitted.metric < spread
 
 
+def test_boosted_trees_of_cells_are_those_of_their_rows(spark):
+    rows = spark.createDataFrame([(float(i % 5), float(i * 7 % 11), float(i * 31 % 97 + i % 5 * i % 11)) for i in range(2000)],
+                                 "x double, y double, price double")
+    cells = bins.as_cells(rows, ["x", "y"], "price")
+    assert (cells.count(), cells.agg(F.sum("weight")).first()[0]) == (55, 2000.0)
+    stages = [VectorAssembler(inputCols=["x", "y"], outputCol="features"),
+              GBTRegressor(labelCol="price", maxDepth=4, maxIter=5, seed=1)]
+    of_rows = Pipeline(stages=stages).fit(rows)
+    stages[1].setWeightCol("weight")
+    of_cells = Pipeline(stages=stages).fit(cells)
+    for a, b in zip(of_rows.transform(cells.orderBy("x", "y")).collect(), of_cells.transform(cells.orderBy("x", "y")).collect()):
+        assert a["prediction"] == pytest.approx(b["prediction"])
+
+
+@pytest.mark.parametrize("count", [7, 32, 33, 400])
+def test_thresholds_are_those_of_a_tree_learner(spark, count):
+    values = [math.sqrt(i * i * 37 % 1009 % count) for i in range(900)]
+    rows = spark.createDataFrame([(v, v + (k % 7) ** 3) for k, v in enumerate(values)], "x double, price double")
+    tree = DecisionTreeRegressor(labelCol="price", maxDepth=12, seed=1).fit(
+        VectorAssembler(inputCols=["x"], outputCol="features").transform(rows))
+    used = {float(t) for t in re.findall(r"feature 0 <= ([-0-9.E]+)", tree.toDebugString)}
+    assert used and used <= set(bins.thresholds(values)) and len(bins.thresholds(values)) <= 31
+
+
+def test_bins_put_rows_where_a_tree_does(spark):
+    rows = spark.createDataFrame([(i, float(i % 3), 1.0) for i in range(30)], "id long, x double, y double")
+    found = bins.tree_bins(rows, ["x", "y"], ["id"], 1)
+    assert found.getOutputCols() == ["x_bin", "y_bin"]
+    at = spark.createDataFrame([(v, 5.0) for v in (-9.0, 0.5, 0.5000001, 1.5, 7.0)], "x double, y double")
+    assert [tuple(r) for r in found.transform(at).select("x_bin", "y_bin").collect()] == [(0, 0), (0, 0), (1, 0), (1, 0), (2, 0)]
+
+
+def test_price_model_takes_new_items(star):
+    fitted = models.predict_prices(star, leak_free=True, depth=2)
+    again = fitted.model.transform(models._training_table(star, "again", ["order_id"]))
+    joined = again.join(fitted.predictions.withColumnRenamed("prediction", "was"), [*features.KEYS, "sale_price"])
+    assert joined.count() >= fitted.predictions.count() > 0
+    assert joined.where("prediction <> was").count() == 0
+
+
 def test_unseen_label_gets_its_own_index(spark):
     train = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "c string, x double")
     test = spark.createDataFrame([("z", 1.0)], "c string, x double")

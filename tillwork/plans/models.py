@@ -10,13 +10,14 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator)
-from pyspark.ml.feature import UnivariateFeatureSelector
+from pyspark.ml.feature import SQLTransformer, StandardScaler, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import RETURNED, discount_rate, flag, ratio
+from tillwork.operators.bins import as_cells, tree_bins
 from tillwork.operators.distribution import in_share
 from tillwork.operators.ranking import with_running_sums
 from tillwork.plans.features import KEYS, REQUIRED, item_master, rfm_features, rfm_stages, vector_stages
@@ -58,12 +59,14 @@ def class_weights(train: DataFrame, label: str) -> Column:
     return F.when(F.col(label) == 1, F.coalesce(balance, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
-def _training_table(shop: Shop, name: str) -> DataFrame:
+def _training_table(shop: Shop, name: str, keys: Sequence[str]) -> DataFrame:
+    """Complete items, and ``in_train``: the choice that :func:`split` makes by ``keys``, made once."""
     retail, sale, cost = (F.col(c) for c in ("retail_price", "sale_price", "cost"))
     table = item_master(shop).dropna(subset=REQUIRED).withColumns({
         "is_returned": flag(F.col("order_status") == RETURNED).cast("double"),
         "discount_rate": discount_rate(retail, sale), "price_gap": retail - cost})
-    return written_evenly(table.select(*KEYS, *REQUIRED, "is_returned", "discount_rate", "price_gap"), name, *KEYS)
+    table = table.withColumn("in_train", in_share(10 * TRAIN_PERCENT, *keys))
+    return written_evenly(table.select(*KEYS, *REQUIRED, "is_returned", "discount_rate", "price_gap", "in_train"), name, *KEYS)
 
 
 def without_summaries(model: PipelineModel) -> PipelineModel:
@@ -80,7 +83,8 @@ def without_summaries(model: PipelineModel) -> PipelineModel:
 
 def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) -> Fitted:
     """Random forest on balanced classes; the metric is the area under the ROC curve."""
-    train, test = split(_training_table(shop, "returns"), [*KEYS, "sale_price", "is_returned"])
+    table = _training_table(shop, "returns", [*KEYS, "sale_price", "is_returned"])
+    train, test = table.filter("in_train"), table.filter(~F.col("in_train"))
     train = train.withColumn("class_weight", class_weights(train, "is_returned"))
     selector = UnivariateFeatureSelector(
         featuresCol="features_scaled", outputCol="features", labelCol="is_returned",
@@ -126,13 +130,28 @@ def cluster_customers(shop: Shop, k: int = CLUSTERS) -> Fitted:
 
 
 def predict_prices(shop: Shop, leak_free: bool = False, depth: int = BOOST_DEPTH) -> Fitted:
-    """Boosted trees for the sale price; the metric is the root mean squared error."""
+    """Boosted trees for the sale price; the metric is the root mean squared error.
+
+    Trees see bins only, so rows of the same bins and labels are fitted as one row with its weight:
+    the fit costs by the combinations that occur, and the rows are read for bins, labels, scale and groups.
+    """
     numbers = PRICE_NUMBERS_LEAK_FREE if leak_free else PRICE_NUMBERS
-    table = _training_table(shop, "prices").filter(F.col("sale_price") > 0)
-    train, test = split(table, [*KEYS, "sale_price"])
-    boosted = GBTRegressor(featuresCol="features_scaled", labelCol="sale_price",
-                           predictionCol="prediction", maxDepth=depth, seed=SEED)
-    model = Pipeline(stages=[*vector_stages(LABELS, numbers, keep_invalid=False), boosted]).fit(train)
+    table = _training_table(shop, "prices", [*KEYS, "sale_price"]).filter(F.col("sale_price") > 0)
+    train, test = table.filter("in_train"), table.filter(~F.col("in_train"))
+    stages = Pipeline(stages=vector_stages(LABELS, numbers, keep_invalid=False)).fit(train).stages
+    scaled = SQLTransformer(statement="SELECT *, {} FROM __THIS__".format(", ".join(
+        f"{c} * {1 / s if s else 0.0!r}D AS {c}_scaled" for c, s in zip(numbers, map(float, stages[-1].std)))))
+    bins = tree_bins(scaled.transform(train), [f"{c}_scaled" for c in numbers], KEYS, SEED)
+    names = [*bins.getOutputCols(), *stages[1].getOutputCols()]
+    cells = written_evenly(as_cells(bins.transform(scaled.transform(train)), [*LABELS, *bins.getOutputCols()], "sale_price"),
+                           "price-cells", *LABELS, *bins.getOutputCols())
+    learned = [VectorAssembler(inputCols=names, outputCol="features_binned"),
+               # Changes no value, but drops the attributes: bins would be taken for categories without order.
+               StandardScaler(inputCol="features_binned", outputCol="features", withMean=False, withStd=False),
+               GBTRegressor(featuresCol="features", labelCol="sale_price", weightCol="weight",
+                            predictionCol="prediction", maxDepth=depth, seed=SEED)]
+    fitted = Pipeline(stages=learned).fit(PipelineModel(stages[:2]).transform(cells))
+    model = PipelineModel([*stages, scaled, bins, *fitted.stages])
     predicted = written(model.transform(test).select(*KEYS, "sale_price", "prediction"), "price-scores")
     error = RegressionEvaluator(labelCol="sale_price", predictionCol="prediction",
                                 metricName="rmse").evaluate(predicted)
