@@ -13,12 +13,13 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import SQLTransformer, StandardScaler, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import RETURNED, discount_rate, flag, ratio
 from tillwork.operators.bins import as_cells, tree_bins
 from tillwork.operators.distribution import in_share
+from tillwork.operators.grown import fit_forest
 from tillwork.operators.ranking import with_running_sums
 from tillwork.plans.features import KEYS, REQUIRED, item_master, rfm_features, rfm_stages, vector_stages
 from tillwork.session import written, written_evenly
@@ -69,18 +70,6 @@ def _training_table(shop: Shop, name: str, keys: Sequence[str]) -> DataFrame:
     return written_evenly(table.select(*KEYS, *REQUIRED, "is_returned", "discount_rate", "price_gap", "in_train"), name, *KEYS)
 
 
-def without_summaries(model: PipelineModel) -> PipelineModel:
-    """The model without the summaries of its training.
-
-    A forest's summary holds the session, which cannot be sent to tasks once anything in it was
-    observed (``Observation``); the model could then not be applied.
-    """
-    for stage in model.stages:
-        if getattr(stage, "hasSummary", False):
-            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
-    return model
-
-
 def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) -> Fitted:
     """Random forest on balanced classes; the metric is the area under the ROC curve."""
     table = _training_table(shop, "returns", [*KEYS, "sale_price", "is_returned"])
@@ -93,8 +82,10 @@ def predict_returns(shop: Shop, trees: int = TREES, depth: int = TREE_DEPTH) ->
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="is_returned", weightCol="class_weight",
         numTrees=trees, maxDepth=depth, seed=SEED)
-    model = without_summaries(Pipeline(stages=[*vector_stages(LABELS, RETURN_NUMBERS, keep_invalid=False),
-                                               selector, forest]).fit(train))
+    stages = Pipeline(stages=[*vector_stages(LABELS, RETURN_NUMBERS, keep_invalid=False), selector]).fit(train)
+    weights = dict(train.groupBy("is_returned").agg(F.max("class_weight")).collect())
+    fitted = fit_forest(forest, stages.transform(train), KEYS, [weights.get(label, 1.0) for label in (0.0, 1.0)])
+    model = PipelineModel([*stages.stages, fitted])
     scored = written(model.transform(test).select(
         *KEYS, "is_returned", "rawPrediction", "prediction",
         vector_to_array("probability")[1].alias("score")), "return-scores")
