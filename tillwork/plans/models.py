@@ -60,7 +60,7 @@ def class_weights(train: DataFrame, label: str) -> Column:
     return F.when(F.col(label) == 1, F.coalesce(balance, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
-def _training_table(shop: Shop, name: str, keys: Sequence[str]) -> DataFrame:
+def _training_table(shop: Shop, name: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Complete items, and ``in_train``: the choice that :func:`split` makes by ``keys``, made once."""
     retail, sale, cost = (F.col(c) for c in ("retail_price", "sale_price", "cost"))
     table = item_master(shop).dropna(subset=REQUIRED).withColumns({
